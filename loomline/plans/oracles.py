@@ -128,9 +128,14 @@ session_target AS (
 RATE_DIGITS = 4
 
 
+def rnd(expr: str, digits: int = 8) -> str:
+    """Rounding with the same small shift as the queries (see ``queries.rnd``)."""
+    return f"round({expr} + 3e-{digits + 1}, {digits})"
+
+
 def rounded(columns: dict[str, int | None], source: str, ctes: list[str]) -> str:
     """SELECT the columns of ``source``, rounding those with a digit count."""
-    cols = ", ".join(c if d is None else f"round({c}, {d}) AS {c}" for c, d in columns.items())
+    cols = ", ".join(c if d is None else f"{rnd(c, d)} AS {c}" for c, d in columns.items())
     return "WITH " + ",".join(ctes) + f"\nSELECT {cols} FROM {source}"
 
 

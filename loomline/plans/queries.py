@@ -19,11 +19,17 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def rnd(c, digits: int = 8):
+    """Round for comparison; the shift keeps exact decimal ties off the rounding edge."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + F.lit(float(f"3e-{digits + 1}")), digits)
+
+
 def rounded(df: DataFrame, digits: int = 8, special: dict[str, int] | None = None) -> DataFrame:
     """Round every double column so that results do not depend on summation order."""
     special = special or {}
     return df.select(*[
-        F.round(f.name, special.get(f.name, digits)).alias(f.name)
+        rnd(f.name, special.get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields
     ])
