@@ -128,9 +128,9 @@ session_target AS (
 RATE_DIGITS = 4
 
 
-def rnd(expr: str, digits: int = 8) -> str:
+def rnd(expr: str, digits: int = 6) -> str:
     """Rounding with the same small shift as the queries (see ``queries.rnd``)."""
-    return f"round({expr} + 3e-{digits + 1}, {digits})"
+    return f"round({expr} + 3.141e-{digits + 1}, {digits})"
 
 
 def rounded(columns: dict[str, int | None], source: str, ctes: list[str]) -> str:
@@ -139,7 +139,7 @@ def rounded(columns: dict[str, int | None], source: str, ctes: list[str]) -> str
     return "WITH " + ",".join(ctes) + f"\nSELECT {cols} FROM {source}"
 
 
-def _cols(ints: str, doubles: str, digits: int = 8) -> dict[str, int | None]:
+def _cols(ints: str, doubles: str, digits: int = 6) -> dict[str, int | None]:
     out: dict[str, int | None] = {c: None for c in ints.split()}
     out.update({c: digits for c in doubles.split()})
     return out

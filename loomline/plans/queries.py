@@ -19,13 +19,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
-def rnd(c, digits: int = 8):
+def rnd(c, digits: int = 6):
     """Round for comparison; the shift keeps exact decimal ties off the rounding edge."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c + F.lit(float(f"3e-{digits + 1}")), digits)
+    return F.round(c + F.lit(float(f"3.141e-{digits + 1}")), digits)
 
 
-def rounded(df: DataFrame, digits: int = 8, special: dict[str, int] | None = None) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, special: dict[str, int] | None = None) -> DataFrame:
     """Round every double column so that results do not depend on summation order."""
     special = special or {}
     return df.select(*[
