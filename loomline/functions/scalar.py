@@ -52,6 +52,16 @@ def md5_int(value: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
+def md5_long(*parts: str | Column) -> Column:
+    """60-bit non-negative integer from the MD5 of the parts joined with ':'.
+
+    A function of the values only, so samples and splits built on it do not change
+    with partitioning or retries.
+    """
+    text = F.concat_ws(":", *[col(p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_bucket(value: str | Column, buckets: int) -> Column:
     """Process-independent bucket of a value; null maps to -1."""
     return F.coalesce(md5_int(value) % F.lit(buckets), F.lit(-1).cast("bigint"))

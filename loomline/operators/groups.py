@@ -306,6 +306,29 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     return hot_facts.join(F.broadcast(hot_dim), on, how).unionByName(cold_facts.join(dim, on, how))
 
 
+def with_group_size(
+    df: DataFrame, keys: Sequence[str], name: str, split: bool | None = None
+) -> DataFrame:
+    """Add the number of rows of each row's group."""
+    keys = list(keys)
+    if split is None:
+        split = needs_split(df, keys)
+    if not split:
+        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return lookup_join(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, "left")
+
+
+def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``; ``n`` may be as large as the table.
+
+    ``orderBy().limit(n)`` ends in a single task, so large ``n`` numbers the rows
+    by range slices and filters instead.
+    """
+    if n <= 10_000:
+        return df.orderBy(*order).limit(n)
+    return with_position(df, [], order, "_nth").where(F.col("_nth") < n).drop("_nth")
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """First ``k`` rows per group with their 1-based rank.
 

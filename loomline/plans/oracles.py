@@ -194,3 +194,242 @@ _INTER = _cols("", "duration_per_event click_ratio_x_duration clicks_x_google cl
 SQL["session_features"] = rounded(
     _SID | _TYPE | _CTX | _GAP | _SEQ | _REF | _RSEQ | _DEV | _INTER | {"ip_bucket_freq": None, "target": None},
     "session_table", ALL_SESSION_CTES)
+
+
+# --- pairs ---------------------------------------------------------------------------------
+
+def md5_long(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 15) AS BIGINT)"
+
+
+def draw(purpose: str) -> str:
+    return md5_long("'42'", f"'{purpose}'", "draw")
+
+
+LINKAGE_SELECT = f"""
+SELECT pair_id, target, a_event_id, b_event_id,
+       {rnd("abs(epoch_us(a.timestamp) - epoch_us(b.timestamp)) / 1e6")} AS abs_time_diff_s,
+       CAST(coalesce(a.device_fingerprint = b.device_fingerprint, false) AS INTEGER) AS same_fingerprint,
+       CAST(coalesce(a.ip_bucket = b.ip_bucket, false) AS INTEGER) AS same_ip_bucket,
+       CAST(coalesce(a.referrer = b.referrer, false) AS INTEGER) AS same_referrer,
+       CAST(a.event_type = b.event_type AS INTEGER) AS same_event_type,
+       CAST(a.user_id IS NOT NULL AND b.user_id IS NOT NULL AS INTEGER) AS both_have_user_id,
+       CAST(coalesce(a.user_id = b.user_id, false) AS INTEGER) AS both_same_user_id
+FROM chosen JOIN ev a ON a.event_id = a_event_id JOIN ev b ON b.event_id = b_event_id"""
+
+
+def negatives(records: str, item: str, truth: str, copies: int, block: str | None) -> str:
+    """CTEs drawing negatives from ``records``; one accepted per record."""
+    same = "" if block is None else (
+        f" AND (coalesce(a.{block} = b.{block}, false) OR {draw('accept')} % 1000 < 200)")
+    return f"""
+spots AS (SELECT *, row_number() OVER (ORDER BY {item}) - 1 AS spot FROM {records}),
+total AS (SELECT count(*) AS n FROM {records}),
+neg_draws AS (
+  SELECT draw, {draw('negative a')} % n AS pa, {draw('negative b')} % n AS pb
+  FROM (SELECT spot * {copies} + c.range AS draw FROM spots, range({copies}) c), total),
+neg AS (
+  SELECT draw AS pair_id, 0 AS target, a.{item} AS a_{item}, b.{item} AS b_{item}
+  FROM neg_draws JOIN spots a ON a.spot = pa JOIN spots b ON b.spot = pb
+  WHERE pa <> pb AND a.{truth} <> b.{truth}{same}
+  ORDER BY draw LIMIT (SELECT n FROM total))"""
+
+
+POSITIVES = f"""
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY true_user_id, session_id ORDER BY event_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY true_user_id, session_id) AS size FROM ev),
+members AS (
+  SELECT true_user_id, session_id, size,
+         row_number() OVER (PARTITION BY true_user_id ORDER BY session_id) - 1 AS m,
+         count(*) OVER (PARTITION BY true_user_id) AS n
+  FROM placed WHERE pos = 0),
+grp AS (SELECT true_user_id, n, row_number() OVER (ORDER BY true_user_id) - 1 AS g
+        FROM members WHERE m = 0 AND n >= 2),
+pos_draws AS (
+  SELECT draw, true_user_id, ma, (ma + 1 + {draw('second')} % (n - 1)) % n AS mb
+  FROM (SELECT draw, true_user_id, n, {draw('first')} % n AS ma
+        FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS draw FROM ev) d
+        JOIN grp ON g = {draw('group')} % (SELECT count(*) FROM grp))),
+pos AS (
+  SELECT d.draw AS pair_id, 1 AS target, a.event_id AS a_event_id, b.event_id AS b_event_id
+  FROM pos_draws d
+  JOIN members x ON x.true_user_id = d.true_user_id AND x.m = d.ma
+  JOIN members y ON y.true_user_id = d.true_user_id AND y.m = d.mb
+  JOIN placed a ON a.true_user_id = d.true_user_id AND a.session_id = x.session_id
+                AND a.pos = {draw('record a')} % x.size
+  JOIN placed b ON b.true_user_id = d.true_user_id AND b.session_id = y.session_id
+                AND b.pos = {draw('record b')} % y.size)"""
+
+SQL["linkage_sampled_pairs"] = ("WITH " + EV + "," + POSITIVES + "," + negatives("ev", "event_id", "true_user_id", 2, None)
+                                + ",\nchosen AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)" + LINKAGE_SELECT)
+SQL["linkage_hard_negatives"] = ("WITH " + EV + "," + negatives("ev", "event_id", "true_user_id", 8, "ip_bucket")
+                                 + ",\nchosen AS (SELECT * FROM neg)" + LINKAGE_SELECT)
+SQL["linkage_window_candidates"] = "WITH " + EV + """,
+linked AS (
+  SELECT lag(event_id) OVER w AS a_event_id, event_id AS b_event_id,
+         epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w) AS gap,
+         lag(session_id) OVER w AS a_session_id, session_id
+  FROM ev WHERE ip_bucket IS NOT NULL
+  WINDOW w AS (PARTITION BY ip_bucket ORDER BY timestamp, event_id)),
+chosen AS (
+  SELECT a_event_id, b_event_id, 0 AS pair_id, 0 AS target FROM linked
+  WHERE a_event_id IS NOT NULL AND gap <= 21600000000 AND a_session_id <> session_id)
+SELECT * EXCLUDE (pair_id, target) FROM (""" + LINKAGE_SELECT + ")"
+
+OFFERS = """
+offers AS (
+  SELECT l_partkey * 1000000 + l_suppkey AS catalog_id, l_suppkey % 6 AS retailer,
+         CASE WHEN l_suppkey % 4 <> 0 THEN md5(CAST(l_partkey AS VARCHAR)) END AS gtin,
+         CASE WHEN l_suppkey % 3 = 0 THEN lower(concat_ws(' ', p_brand, p_name, p_type))
+              WHEN l_suppkey % 17 <> 0 THEN concat_ws(' ', p_brand, p_name, p_type) END AS title,
+         p_type AS category, p_retailprice * (1 + (l_suppkey % 10) / 50.0) AS list_price,
+         l_partkey AS true_canonical_id, p_type AS true_category_path
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN part ON p_partkey = l_partkey),
+worded AS (
+  SELECT *, regexp_extract_all(lower(coalesce(title, '')), '[a-z0-9]+') AS words FROM offers)"""
+
+MATCHER_SELECT = f"""
+SELECT pair_id, target, a_catalog_id, b_catalog_id,
+       CAST(coalesce(a.gtin = b.gtin, false) AS INTEGER) AS same_gtin,
+       CAST(a.gtin IS NOT NULL AND b.gtin IS NOT NULL AS INTEGER) AS both_have_gtin,
+       CAST((a.gtin IS NULL) <> (b.gtin IS NULL) AS INTEGER) AS one_has_gtin,
+       CAST(a.gtin IS NULL AND b.gtin IS NULL AS INTEGER) AS no_gtin,
+       CAST(coalesce(a.words[1], '') = coalesce(b.words[1], '') AS INTEGER) AS same_brand_token,
+       {rnd("coalesce(len(list_intersect(a.words, b.words)) / CAST(nullif(len(list_distinct(list_concat(a.words, b.words))), 0) AS DOUBLE), 0.0)")} AS title_jaccard,
+       CAST(len(list_intersect(a.words, b.words)) AS INTEGER) AS title_token_overlap,
+       CAST(a.category IS NOT DISTINCT FROM b.category AS INTEGER) AS same_category,
+       CAST(a.retailer = b.retailer AS INTEGER) AS same_retailer,
+       {rnd("abs(ln(greatest(0.01, a.list_price)) - ln(greatest(0.01, b.list_price)))")} AS log_price_diff_ratio
+FROM chosen JOIN worded a ON a.catalog_id = a_catalog_id JOIN worded b ON b.catalog_id = b_catalog_id"""
+
+MATCHER_POSITIVES = f"""
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY true_canonical_id ORDER BY catalog_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY true_canonical_id) AS n FROM offers),
+grp AS (SELECT true_canonical_id, n, row_number() OVER (ORDER BY true_canonical_id) - 1 AS g
+        FROM placed WHERE pos = 0 AND n >= 2),
+pos_draws AS (
+  SELECT draw, true_canonical_id, ma, (ma + 1 + {draw('second')} % (n - 1)) % n AS mb
+  FROM (SELECT draw, true_canonical_id, n, {draw('first')} % n AS ma
+        FROM (SELECT i * 4 + c.range AS draw
+              FROM (SELECT row_number() OVER (ORDER BY catalog_id) - 1 AS i FROM offers), range(4) c) d
+        JOIN grp ON g = {draw('group')} % (SELECT count(*) FROM grp))),
+pos AS (
+  SELECT d.draw AS pair_id, 1 AS target, a.catalog_id AS a_catalog_id, b.catalog_id AS b_catalog_id
+  FROM pos_draws d
+  JOIN placed a ON a.true_canonical_id = d.true_canonical_id AND a.pos = ma
+  JOIN placed b ON b.true_canonical_id = d.true_canonical_id AND b.pos = mb
+  WHERE a.retailer <> b.retailer
+  ORDER BY draw LIMIT (SELECT count(*) FROM offers))"""
+SQL["matcher_sampled_pairs"] = ("WITH " + OFFERS + "," + MATCHER_POSITIVES + ","
+                                + negatives("offers", "catalog_id", "true_canonical_id", 2, None)
+                                + ",\nchosen AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)" + MATCHER_SELECT)
+SQL["matcher_hard_negatives"] = ("WITH " + OFFERS + ","
+                                 + negatives("offers", "catalog_id", "true_canonical_id", 8, "true_category_path")
+                                 + ",\nchosen AS (SELECT * FROM neg)" + MATCHER_SELECT)
+
+# --- as-of features ------------------------------------------------------------------------
+
+VIEWS = """
+e AS (SELECT event_id, true_user_id, timestamp AS event_timestamp FROM ev WHERE event_type = 'conversion'),
+v AS (SELECT true_user_id, timestamp AS view_ts, value AS view_value, referrer AS view_referrer
+      FROM ev WHERE event_type = 'page_view')"""
+SQL["asof_features"] = "WITH " + EV + "," + VIEWS + """
+SELECT e.event_id, e.true_user_id, e.event_timestamp, v.view_value, v.view_referrer, v.view_ts
+FROM e ASOF LEFT JOIN v ON e.true_user_id = v.true_user_id AND e.event_timestamp >= v.view_ts"""
+SQL["asof_features_ttl"] = "WITH " + EV + "," + VIEWS + """
+SELECT event_id, true_user_id, event_timestamp,
+       CASE WHEN ok THEN view_value END AS view_value, CASE WHEN ok THEN view_referrer END AS view_referrer,
+       CASE WHEN ok THEN view_ts END AS view_ts
+FROM (SELECT e.*, v.view_value, v.view_referrer, v.view_ts,
+             v.view_ts >= e.event_timestamp - INTERVAL 2 DAY AS ok
+      FROM e ASOF LEFT JOIN v ON e.true_user_id = v.true_user_id AND e.event_timestamp >= v.view_ts)"""
+LATEST = """
+latest AS (
+  SELECT * EXCLUDE (r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY true_user_id ORDER BY view_ts DESC, view_value DESC, view_referrer DESC) AS r FROM v)
+  WHERE r = 1)"""
+SQL["latest_features"] = "WITH " + EV + "," + VIEWS + "," + LATEST + "SELECT * FROM latest"
+SQL["online_lookup"] = "WITH " + EV + "," + VIEWS + "," + LATEST + """
+SELECT c_custkey AS true_user_id, view_value, view_referrer
+FROM customer LEFT JOIN latest ON c_custkey = true_user_id"""
+
+# --- interactions and ranking --------------------------------------------------------------
+
+INTERACTIONS = """
+raw AS (
+  SELECT o_custkey AS user_id, l_partkey AS item_id, l_quantity AS weight,
+         o_orderdate, l_orderkey, l_linenumber, l_shipdate, l_extendedprice
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+dedup AS (
+  SELECT * EXCLUDE (r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY o_orderdate DESC, l_orderkey DESC,
+      l_linenumber DESC, l_shipdate DESC, l_extendedprice DESC, weight DESC) AS r FROM raw)
+  WHERE r = 1)"""
+SQL["interactions_dedup"] = "WITH " + INTERACTIONS + """
+SELECT user_id, item_id, weight, o_orderdate, l_orderkey FROM dedup"""
+
+
+def _kcore(passes: int, min_users: int, min_items: int) -> str:
+    out, prev = "c0 AS (SELECT user_id, item_id, weight FROM dedup)", "c0"
+    for i in range(1, passes + 1):
+        out += f""",
+i{i} AS (SELECT * FROM {prev} WHERE item_id IN (
+  SELECT item_id FROM {prev} GROUP BY item_id HAVING count(DISTINCT user_id) >= {min_users})),
+c{i} AS (SELECT * FROM i{i} WHERE user_id IN (
+  SELECT user_id FROM i{i} GROUP BY user_id HAVING count(DISTINCT item_id) >= {min_items}))"""
+        prev = f"c{i}"
+    return out
+
+
+SQL["interactions_kcore"] = "WITH " + INTERACTIONS + ",\n" + _kcore(5, 28, 36) + "\nSELECT * FROM c5"
+SQL["dense_ids"] = """
+SELECT o_custkey AS user_id, CAST(row_number() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS user_idx
+FROM (SELECT DISTINCT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+SPLIT = f"""
+marked AS (
+  SELECT user_id, item_id, weight,
+         n >= 3 AND pos < greatest(1, CAST(round_even(n * 0.2, 0) AS BIGINT)) AS is_test
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
+                    {md5_long("'42'", "user_id", "item_id")}, item_id) - 1 AS pos,
+               count(*) OVER (PARTITION BY user_id) AS n
+        FROM dedup))"""
+SQL["leave_k_out"] = "WITH " + INTERACTIONS + "," + SPLIT + "\nSELECT * FROM marked"
+SQL["item_partner_counts"] = """
+SELECT l_partkey AS item_id, count(DISTINCT o_custkey) AS n_partners
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey HAVING count(DISTINCT o_custkey) >= 25"""
+SQL["items_per_user"] = "WITH " + INTERACTIONS + """
+SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM dedup GROUP BY user_id"""
+SQL["interaction_summary"] = "WITH " + INTERACTIONS + f"""
+SELECT n_rows, n_users, n_items, {rnd('weight_min', 9)} AS weight_min, {rnd('weight_max', 9)} AS weight_max,
+       {rnd('n_rows / (CAST(n_users AS DOUBLE) * n_items)', 9)} AS density
+FROM (SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+             min(weight) AS weight_min, max(weight) AS weight_max FROM raw)"""
+POPULAR = """
+train AS (SELECT user_id, item_id FROM marked WHERE NOT is_test),
+test AS (SELECT user_id, item_id FROM marked WHERE is_test),
+ranked AS (SELECT item_id, row_number() OVER (ORDER BY n_users DESC, item_id) - 1 AS at
+           FROM (SELECT item_id, count(DISTINCT user_id) AS n_users FROM train GROUP BY item_id)),
+recs AS (
+  SELECT user_id, item_id, rank FROM (
+    SELECT u.user_id, r.item_id,
+           CAST(row_number() OVER (PARTITION BY u.user_id ORDER BY r.at) AS INTEGER) AS rank
+    FROM (SELECT c_custkey AS user_id FROM customer) u CROSS JOIN ranked r
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = r.item_id))
+  WHERE rank <= 10)"""
+SQL["popularity_topk_unseen"] = "WITH " + INTERACTIONS + "," + SPLIT + "," + POPULAR + "\nSELECT * FROM recs"
+SQL["ranking_metrics"] = "WITH " + INTERACTIONS + "," + SPLIT + "," + POPULAR + f""",
+truth AS (SELECT user_id, count(*) AS n FROM test GROUP BY user_id),
+hits AS (SELECT user_id, rank, row_number() OVER (PARTITION BY user_id ORDER BY rank) AS h
+         FROM recs JOIN test USING (user_id, item_id)),
+per_user AS (
+  SELECT user_id, n, count(rank) AS k, coalesce(sum(1.0 / log2(rank + 1)), 0) AS dcg,
+         coalesce(sum(h / CAST(rank AS DOUBLE)), 0) AS ap,
+         list_sum(list_transform(range(1, least(n, 10) + 1), lambda i: 1.0 / log2(i + 1))) AS ideal
+  FROM truth LEFT JOIN hits USING (user_id) GROUP BY user_id, n)
+SELECT {rnd('avg(k / CAST(n AS DOUBLE))', 9)} AS recall_at_10, {rnd('avg(k / 10.0)', 9)} AS precision_at_10,
+       {rnd('avg(CASE WHEN k > 0 THEN 1.0 ELSE 0.0 END)', 9)} AS hit_rate_at_10,
+       {rnd('avg(dcg / ideal)', 9)} AS ndcg_at_10, {rnd('avg(ap / least(n, 10))', 9)} AS map_at_10,
+       count(*) AS n_entities_evaluated
+FROM per_user"""

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.operators import sessions
+from loomline.operators import asof, interactions, metrics, pairs, recommend, sessions
+from loomline.operators.asof import FeatureView
+from loomline.operators.groups import checkpointed
 from loomline.plans import shapes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +93,181 @@ RATE_DIGITS = {"clicks_per_minute": 4, "page_views_per_minute": 4}
 @query
 def session_features(spark, sf_dir):
     return rounded(sessions.session_features(shapes.clickstream(spark, sf_dir)), special=RATE_DIGITS)
+
+
+# --- pairs ---------------------------------------------------------------------------------
+
+def linkage_parts(spark, sf_dir):
+    events = shapes.clickstream(spark, sf_dir)
+    observed = events.drop("true_user_id", "value")
+    return observed, events.select("event_id", "true_user_id")
+
+
+def pair_columns(df, features):
+    return rounded(df.select("pair_id", "target", *features))
+
+
+@query
+def linkage_sampled_pairs(spark, sf_dir):
+    """One positive and one negative pair per event."""
+    observed, truth = linkage_parts(spark, sf_dir)
+    df = pairs.linkage_pairs(observed, truth, 2 * observed.count())
+    return pair_columns(df, ["a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES])
+
+
+@query
+def linkage_hard_negatives(spark, sf_dir):
+    """Negatives biased to the same ip bucket, one per event."""
+    observed, truth = linkage_parts(spark, sf_dir)
+    known = observed.join(truth, "event_id")
+    df = pairs.sample_negative_pairs(
+        known, "true_user_id", observed.count(), 42, pairs.LINKAGE_COLUMNS, "event_id", block="ip_bucket"
+    )
+    return pair_columns(pairs.linkage_features(df), ["a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES])
+
+
+@query
+def linkage_window_candidates(spark, sf_dir):
+    """Neighbouring events of an ip bucket within six hours and from different sessions."""
+    observed, _ = linkage_parts(spark, sf_dir)
+    df = pairs.window_candidates(
+        observed, "ip_bucket", timedelta(hours=6), pairs.LINKAGE_COLUMNS, across="session_id"
+    )
+    return rounded(pairs.linkage_features(df).select("a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES))
+
+
+def matcher_parts(spark, sf_dir):
+    offers = shapes.offerings(spark, sf_dir)
+    truth = offers.select("catalog_id", "true_canonical_id", "true_category_path")
+    return offers.drop("true_canonical_id", "true_category_path"), truth
+
+
+@query
+def matcher_sampled_pairs(spark, sf_dir):
+    """One positive and one negative pair per offering."""
+    offers, truth = matcher_parts(spark, sf_dir)
+    df = pairs.matcher_pairs(offers, truth, 2 * offers.count())
+    return pair_columns(df, ["a_catalog_id", "b_catalog_id", *pairs.MATCHER_FEATURES])
+
+
+@query
+def matcher_hard_negatives(spark, sf_dir):
+    """Negatives biased to the same category, one per offering."""
+    offers, truth = matcher_parts(spark, sf_dir)
+    df = pairs.sample_negative_pairs(
+        offers.join(truth, "catalog_id"), "true_canonical_id", offers.count(), 42,
+        pairs.MATCHER_COLUMNS, "catalog_id", block="true_category_path",
+    )
+    return pair_columns(pairs.matcher_features(df), ["a_catalog_id", "b_catalog_id", *pairs.MATCHER_FEATURES])
+
+
+# --- as-of features ------------------------------------------------------------------------
+
+def view_of_page_views(events, ttl=None):
+    source = events.where("event_type = 'page_view'").select(
+        "true_user_id", F.col("timestamp").alias("view_ts"), F.col("value").alias("view_value"),
+        F.col("referrer").alias("view_referrer"),
+    )
+    return FeatureView("last_view", ("true_user_id",), "view_ts", ("view_value", "view_referrer"), source, ttl)
+
+
+def conversions(events):
+    return events.where("event_type = 'conversion'").select(
+        "event_id", "true_user_id", F.col("timestamp").alias("event_timestamp")
+    )
+
+
+@query
+def asof_features(spark, sf_dir):
+    events = shapes.clickstream(spark, sf_dir)
+    return asof.as_of_join(conversions(events), view_of_page_views(events), feature_ts="view_ts")
+
+
+@query
+def asof_features_ttl(spark, sf_dir):
+    events = shapes.clickstream(spark, sf_dir)
+    view = view_of_page_views(events, timedelta(days=2))
+    return asof.as_of_join(conversions(events), view, feature_ts="view_ts")
+
+
+@query
+def latest_features(spark, sf_dir):
+    return asof.latest_rows(view_of_page_views(shapes.clickstream(spark, sf_dir)))
+
+
+@query
+def online_lookup(spark, sf_dir):
+    """Every customer asks for its latest view features; those without events get nulls."""
+    view = view_of_page_views(shapes.clickstream(spark, sf_dir))
+    requests = shapes.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("true_user_id"))
+    return asof.online_lookup(requests, asof.latest_rows(view), view)
+
+
+# --- interactions and ranking --------------------------------------------------------------
+
+def deduplicated(spark, sf_dir):
+    df = shapes.interactions(spark, sf_dir)
+    return interactions.keep_last(df, ["user_id", "item_id"], shapes.RECENCY)
+
+
+@query
+def interactions_dedup(spark, sf_dir):
+    return deduplicated(spark, sf_dir).select("user_id", "item_id", "weight", "o_orderdate", "l_orderkey")
+
+
+@query
+def interactions_kcore(spark, sf_dir):
+    """Minimum counts near the averages, so that several passes remove rows."""
+    df = deduplicated(spark, sf_dir).select("user_id", "item_id", "weight")
+    return interactions.k_core(df, min_users=28, min_items=36)
+
+
+@query
+def dense_ids(spark, sf_dir):
+    return interactions.dense_ids(shapes.interactions(spark, sf_dir), "user_id", "user_idx")
+
+
+@query
+def leave_k_out(spark, sf_dir):
+    df = deduplicated(spark, sf_dir).select("user_id", "item_id", "weight")
+    return interactions.leave_k_out(df)
+
+
+@query
+def item_partner_counts(spark, sf_dir):
+    df = shapes.interactions(spark, sf_dir)
+    return interactions.partner_counts(df, "item_id", "user_id").where(F.col("n_partners") >= 25)
+
+
+@query
+def items_per_user(spark, sf_dir):
+    lists = interactions.items_per_user(shapes.interactions(spark, sf_dir))
+    return lists.select("user_id", F.concat_ws(",", F.col("items").cast("array<string>")).alias("items"))
+
+
+@query
+def interaction_summary(spark, sf_dir):
+    return rounded(interactions.interaction_summary(shapes.interactions(spark, sf_dir)), 9)
+
+
+def popular_split(spark, sf_dir):
+    marked = checkpointed(leave_k_out(spark, sf_dir).select("user_id", "item_id", "is_test"))
+    train = marked.where("NOT is_test").select("user_id", "item_id")
+    test = marked.where("is_test").select("user_id", "item_id")
+    return train, test
+
+
+@query
+def popularity_topk_unseen(spark, sf_dir):
+    """Ten most popular unseen parts for every customer, including those without orders."""
+    train, _ = popular_split(spark, sf_dir)
+    users = shapes.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    return recommend.popular_unseen(users, train, 10)
+
+
+@query
+def ranking_metrics(spark, sf_dir):
+    """The popularity ranking scored on the held-out items."""
+    train, test = popular_split(spark, sf_dir)
+    recs = recommend.popular_unseen(test.select("user_id"), train, 10)
+    return rounded(metrics.ranking_metrics(recs, test, 10, "user_id", "item_id"), 9)

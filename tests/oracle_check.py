@@ -40,14 +40,17 @@ def table_rows(columns, rows):
     return sorted(columns), sorted(out, key=repr)
 
 
+SPARK_SECONDS: dict[str, float] = {}
 KIND = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
         "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
 
 
 def compare(spark, con, name, fn, sql, sf_dir):
     """Return a list of differences (empty when equal)."""
+    start = time.time()
     df = fn(spark, sf_dir)
     got_cols, got = table_rows(df.columns, [tuple(r) for r in df.collect()])
+    SPARK_SECONDS[name] = time.time() - start
     cur = con.execute(sql)
     kinds = {d[0]: str(d[1]) for d in cur.description}
     want_cols, want = table_rows([d[0] for d in cur.description], cur.fetchall())
@@ -89,7 +92,7 @@ def main() -> int:
         except Exception as e:
             problems, note = [f"{type(e).__name__}: {str(e)[:1500]}"], ""
         bad += bool(problems)
-        print(f"{name:32s} {time.time() - start:6.2f}s  {'; '.join(problems) or note}", flush=True)
+        print(f"{name:32s} {SPARK_SECONDS.get(name, 0):6.2f}s of {time.time() - start:6.2f}s  {'; '.join(problems) or note}", flush=True)
     print(f"{len(names) - bad}/{len(names)} fine")
     return 1 if bad else 0
 
