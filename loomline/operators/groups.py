@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -27,6 +28,9 @@ SMALL_INPUT_BYTES = 64 * 1024 * 1024
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Groups above this many rows are split.
 ROWS_PER_TASK = 2_000_000
+# Input bytes per slice when a group or a whole table is split into ranges.
+SLICE_BYTES = 16 * 1024 * 1024
+MAX_SLICES = 100_000
 # Upper bound on the number of keys treated as hot (bounds what is broadcast).
 MAX_HOT_KEYS = 20_000
 
@@ -37,23 +41,29 @@ def _setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.loomline.{name}", str(default)))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; make one only for local runs."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only for local runs."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="loomline-checkpoint-")
-    sc.setCheckpointDir(folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage, survives lost executors, and unlike an RDD checkpoint
+    keeps column pruning and gives the optimizer real sizes.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/loomline/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -116,10 +126,8 @@ def _range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     The slice number comes from the physical partition, so the frame is written
     to reliable storage once; later steps and task retries all see the same one.
     """
-    spark = df.sparkSession
-    rows = df.count()
-    wanted = math.ceil(rows / max(1, _setting(spark, "rowsPerTask", ROWS_PER_TASK)))
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, 100_000))
+    size = input_bytes(df) / max(1, _setting(df.sparkSession, "sliceBytes", SLICE_BYTES))
+    slices = int(min(max(2, math.ceil(size)), MAX_SLICES))
     sorted_parts = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     return checkpointed(sorted_parts.withColumn(_PART, F.spark_partition_id()))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import FeatureHasher
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +90,14 @@ def with_rare_grouped(df: DataFrame, column: str, min_count: int, other: str = "
     return joined.withColumn(column, kept).select(*df.columns)
 
 
+def hashed_features(df: DataFrame, columns: Sequence[str], dim: int) -> DataFrame:
+    """Hash (column, value) pairs into ``dim`` positions; adds ``hashed`` and the filled ``positions``."""
+    hasher = FeatureHasher(inputCols=list(columns), outputCol="hashed", numFeatures=dim, categoricalCols=list(columns))
+    out = hasher.transform(df)
+    filled = F.transform(vector_to_array("hashed"), lambda x, i: F.when(x != 0, i))
+    return out.withColumn("positions", F.filter(filled, lambda i: i.isNotNull()))
+
+
 # --- drift and boundaries ------------------------------------------------------------------
 
 def drift(base: DataFrame, current: DataFrame, column: str, floor: float = 1e-6) -> DataFrame:

@@ -22,6 +22,7 @@ from loomline.operators.groups import (
     lookup_join,
     needs_split,
     with_lag,
+    with_last_known,
 )
 
 # Fixed values.
@@ -287,3 +288,16 @@ def session_features(
     df = df.fillna({"ip_bucket": null_ip_bucket}).fillna(0)
     df = with_interactions(df)
     return df.join(session_labels(events, label), KEY, "inner")
+
+
+def last_click_attribution(events: DataFrame) -> DataFrame:
+    """For each conversion, the session's latest click before it (nulls when there is none)."""
+    click = F.when(
+        F.col("event_type") == "click", F.struct(F.col("event_id"), F.col("referrer"))
+    )
+    marked = events.where(F.col("event_type").isin("click", "conversion")).withColumn("_click", click)
+    order = [F.col("timestamp"), F.col("event_id")]
+    known = with_last_known(marked, [KEY], order, {"_last": "_click"}).where("event_type = 'conversion'")
+    return known.withColumns(
+        {"click_event_id": F.col("_last.event_id"), "click_referrer": F.col("_last.referrer")}
+    ).drop("_click", "_last")

@@ -433,3 +433,235 @@ SELECT {rnd('avg(k / CAST(n AS DOUBLE))', 9)} AS recall_at_10, {rnd('avg(k / 10.
        {rnd('avg(dcg / ideal)', 9)} AS ndcg_at_10, {rnd('avg(ap / least(n, 10))', 9)} AS map_at_10,
        count(*) AS n_entities_evaluated
 FROM per_user"""
+
+# --- corpus and search ---------------------------------------------------------------------
+
+_BLANKS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+SQL["corpus_text"] = f"""
+SELECT p_partkey AS item_id,
+       concat_ws('. ', nullif(trim(p_name, '{_BLANKS}'), ''),
+                 CASE WHEN p_size > 10 THEN nullif(trim(p_type, '{_BLANKS}'), '') END) AS text,
+       '{{"product_id":' || p_partkey || ',"title":"' || p_name || '"'
+         || CASE WHEN p_size % 5 <> 0 THEN ',"brand":"' || p_brand || '"' ELSE '' END
+         || ',"size":' || p_size || '}}' AS metadata
+FROM part"""
+SQL["document_corpus"] = f"""
+SELECT doc_id AS item_id,
+       md5(concat_ws('. ', nullif(trim(lang, '{_BLANKS}'), ''), nullif(trim(text, '{_BLANKS}'), ''))) AS text_md5,
+       '{{"product_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '","n_chars":' || n_chars || '}}' AS metadata
+FROM documents"""
+CENTRES = """
+parts AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+centres AS (SELECT label AS c_label, i, avg(x) AS c FROM parts GROUP BY label, i)"""
+KNN = "WITH" + CENTRES + f"""
+SELECT query_id, item_id, {rnd('d')} AS _distance, rank, hit_label
+FROM (SELECT CAST(c_label AS BIGINT) AS query_id, vec_id AS item_id, label AS hit_label, d,
+             CAST(row_number() OVER (PARTITION BY c_label ORDER BY d, vec_id) AS INTEGER) AS rank
+      FROM (SELECT c_label, vec_id, label, sum((x - c) * (x - c)) AS d
+            FROM parts JOIN centres USING (i) GROUP BY c_label, vec_id, label))
+WHERE rank <= 10"""
+SQL["knn_l2"] = KNN
+SQL["knn_l2_blocks"] = KNN
+SQL["embedding_cosine_pairs"] = "WITH" + CENTRES + f"""
+SELECT vec_id AS item_id, label, {rnd('sum(x * c) / (sqrt(sum(x * x)) * sqrt(sum(c * c)))')} AS cosine
+FROM parts JOIN centres ON c_label = label AND parts.i = centres.i GROUP BY vec_id, label"""
+
+# --- numeric tables, splits and profiles ---------------------------------------------------
+
+HOUSE = """
+house AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 5.0 AS MedInc, l_linenumber * 7.0::DOUBLE AS HouseAge,
+         l_tax * 100.0 + 1.0 AS AveRooms, l_discount * 10.0 + 0.5 AS AveBedrms,
+         l_quantity * 30.0 + l_linenumber AS Population, l_discount * 20.0 + 1.0 AS AveOccup,
+         32.5::DOUBLE + (l_partkey % 1000) / 100.0::DOUBLE AS Latitude, -124.0::DOUBLE + (l_suppkey % 1000) / 100.0::DOUBLE AS Longitude,
+         l_extendedprice / 100000.0 AS target
+  FROM lineitem),
+ratios AS (
+  SELECT *, AveRooms / (AveOccup + 1e-6) AS rooms_per_household, AveBedrms / (AveRooms + 1e-6) AS bedrooms_per_room,
+         Population / (AveOccup + 1e-6) AS population_per_household, AveBedrms / (AveOccup + 1e-6) AS bedrooms_per_household,
+         AveRooms / (Population + 1e-6) AS rooms_per_person, AveOccup / (AveRooms + 1e-6) AS occ_ratio,
+         MedInc / (AveRooms + 1e-6) AS income_per_room, MedInc / (AveBedrms + 1e-6) AS income_per_bedroom,
+         sqrt(pow(Latitude - 34.05, 2) + pow(Longitude + 118.24, 2)) AS dist_la,
+         sqrt(pow(Latitude - 37.77, 2) + pow(Longitude + 122.42, 2)) AS dist_sf,
+         sqrt(pow(Latitude - 32.72, 2) + pow(Longitude + 117.15, 2)) AS dist_sd,
+         sqrt(pow(Latitude - 37.34, 2) + pow(Longitude + 121.89, 2)) AS dist_sj,
+         sqrt(pow(Latitude - 38.58, 2) + pow(Longitude + 121.49, 2)) AS dist_sac,
+         sqrt(pow(Latitude - 34.42, 2) + pow(Longitude + 119.70, 2)) AS dist_sb,
+         sqrt(pow(Latitude - 36.74, 2) + pow(Longitude + 119.77, 2)) AS dist_fresno,
+         sqrt(pow(Latitude - 35.0, 2) + pow(Longitude + 119.0, 2)) AS geo_dist
+  FROM house),
+engineered AS (
+  SELECT *, Population / (rooms_per_household + 1e-6) AS pop_density,
+         ln(1.0 + MedInc) AS log_medinc, ln(1.0 + Population) AS log_population, ln(1.0 + AveOccup) AS log_households,
+         ln(1.0 + AveRooms) AS log_rooms, ln(1.0 + AveBedrms) AS log_bedrooms,
+         ln(1.0 + rooms_per_household) AS log_rooms_per_household,
+         ln(1.0 + population_per_household) AS log_population_per_household,
+         Latitude * Longitude AS lat_lon, Latitude * Latitude AS lat2, Longitude * Longitude AS lon2,
+         MedInc * MedInc AS medinc2, MedInc * MedInc * MedInc AS medinc3, sqrt(greatest(MedInc, 0.0)) AS sqrt_medinc,
+         ln(1.0 + MedInc) * ln(1.0 + MedInc) AS log_medinc2, MedInc * Latitude AS medinc_x_lat,
+         MedInc * Longitude AS medinc_x_lon, ln(1.0 + MedInc) * Latitude AS log_medinc_x_lat,
+         ln(1.0 + MedInc) * Longitude AS log_medinc_x_lon, MedInc * dist_la AS medinc_x_dist_la,
+         MedInc * dist_sf AS medinc_x_dist_sf, MedInc * dist_sd AS medinc_x_dist_sd, MedInc * dist_sj AS medinc_x_dist_sj,
+         HouseAge * AveRooms AS age_x_rooms, HouseAge * MedInc AS age_x_income,
+         HouseAge * rooms_per_household AS age_x_rooms_per_hh, HouseAge * Latitude AS age_x_lat,
+         least(dist_la, dist_sf, dist_sd, dist_sj, dist_sac, dist_sb, dist_fresno) AS min_city_dist
+  FROM ratios)"""
+SQL["numeric_features"] = "WITH" + HOUSE + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(COLUMNS(* EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey)) + 3.141e-6, 5)
+FROM engineered"""
+
+_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+SQL["train_test_split"] = f"""
+SELECT {_LINE}, {md5_long("'42'", _LINE)} % 1000000 < 200000 AS is_test FROM lineitem"""
+SQL["stratified_sample"] = f"""
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {md5_long("'42'", 'o_orderkey')}, o_orderkey) AS r FROM orders)
+WHERE r <= 200"""
+SQL["eval_subsample"] = f"""
+SELECT o_orderkey, o_custkey FROM orders ORDER BY {md5_long("'0'", 'o_orderkey')}, o_orderkey LIMIT 2000"""
+SQL["first_rows"] = """
+SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10"""
+SQL["class_balance"] = f"""
+SELECT quality, count(*) AS n, {rnd('count(*) / CAST((SELECT count(*) FROM labels) AS DOUBLE)')} AS share
+FROM labels GROUP BY quality"""
+SQL["balanced_weights"] = f"""
+SELECT doc_id, toxic, {rnd("count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY toxic))")} AS class_weight FROM labels"""
+SQL["dataset_profile"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, {rnd(f'avg({c})', 5)} AS mean, {rnd(f'stddev_samp({c})', 5)} AS stddev,
+       {rnd(f'min({c})', 5)} AS min, {rnd(f'max({c})', 5)} AS max FROM lineitem"""
+    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+SQL["dataset_summary"] = f"""
+SELECT count(*) AS n_rows, 11 AS n_cols, {rnd('min(l_discount)')} AS target_min, {rnd('max(l_discount)')} AS target_max,
+       {rnd('avg(l_discount)')} AS target_mean,
+       {rnd('avg(CASE WHEN l_discount > 0 THEN 1.0 ELSE 0.0 END)')} AS positive_fraction
+FROM lineitem"""
+_CELLS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in sorted(
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate".split()))
+SQL["dataset_fingerprint"] = f"""
+SELECT n_rows, 11 AS n_cols, sha256(n_rows || ':' || s || ':' || x) AS dataset_sha256
+FROM (SELECT count(*) AS n_rows, sum(h) AS s, bit_xor(h) AS x
+      FROM (SELECT {md5_long(f"concat_ws('|', {_CELLS})")} AS h FROM lineitem))"""
+SQL["unseen_category"] = """
+SELECT p_partkey, coalesce(code, -1) AS code,
+       (SELECT string_agg(CASE WHEN t.p_type = part.p_type THEN '1' ELSE '0' END, '' ORDER BY t.p_type)
+        FROM (SELECT DISTINCT p_type FROM part WHERE p_type <> 'PROMO') t) AS hot
+FROM part LEFT JOIN (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS code
+                     FROM (SELECT DISTINCT p_type FROM part WHERE p_type <> 'PROMO')) v USING (p_type)"""
+SQL["rare_categories"] = """
+SELECT p_partkey, CASE WHEN c >= k THEN p_name ELSE 'other' END AS p_name
+FROM (SELECT p_partkey, p_name, count(*) OVER (PARTITION BY p_name) AS c FROM part),
+     (SELECT CAST(ceil(count(*) / CAST(count(DISTINCT p_name) AS DOUBLE)) AS BIGINT) AS k FROM part)"""
+SQL["drift_psi"] = "WITH" + EV + f""",
+shares AS (
+  SELECT greatest(coalesce(a / (SELECT CAST(count(*) AS DOUBLE) FROM ev WHERE user_id IS NOT NULL), 0), 1e-6) AS p,
+         greatest(coalesce(b / (SELECT CAST(count(*) AS DOUBLE) FROM ev WHERE user_id IS NULL), 0), 1e-6) AS q
+  FROM (SELECT event_type, count(*) AS a FROM ev WHERE user_id IS NOT NULL GROUP BY 1)
+  FULL JOIN (SELECT event_type, count(*) AS b FROM ev WHERE user_id IS NULL GROUP BY 1) USING (event_type))
+SELECT {rnd('sum((q - p) * ln(q / p))')} AS psi, {rnd('sum(q * ln(q / p))')} AS kl, count(*) AS n_values FROM shares"""
+SQL["boundary_checks"] = "WITH" + EV + """
+SELECT unnest(['known_referrer', 'has_ip', 'positive_value', 'known_type']) AS rule, unnest([a, b, c, d]) AS n_bad, n AS n_rows
+FROM (SELECT count(*) FILTER (WHERE referrer IS NULL) AS a, count(*) FILTER (WHERE ip_bucket IS NULL) AS b,
+             count(*) FILTER (WHERE value IS NULL OR value <= 0) AS c, count(*) FILTER (WHERE event_type IS NULL) AS d,
+             count(*) AS n FROM ev)"""
+SQL["price_zscore"] = "WITH" + OFFERS + f"""
+SELECT catalog_id, category, retailer, {rnd('list_price')} AS list_price,
+       {rnd("CASE WHEN s > 0 THEN (list_price - m) / s ELSE 0.0 END")} AS z
+FROM offers JOIN (SELECT category, retailer, avg(list_price) AS m, stddev_samp(list_price) AS s FROM offers GROUP BY 1, 2)
+  USING (category, retailer)"""
+SQL["last_click"] = "WITH" + EV + """
+SELECT e.event_id, e.session_id, c.event_id AS click_event_id, c.referrer AS click_referrer
+FROM (SELECT * FROM ev WHERE event_type = 'conversion') e
+LEFT JOIN LATERAL (
+  SELECT event_id, referrer FROM ev c
+  WHERE c.event_type = 'click' AND c.session_id = e.session_id AND (c.timestamp, c.event_id) <= (e.timestamp, e.event_id)
+  ORDER BY c.timestamp DESC, c.event_id DESC LIMIT 1) c ON true"""
+
+# --- metrics -------------------------------------------------------------------------------
+
+GRADED = """
+graded AS (
+  SELECT doc_id, quality, toxic, n_chars, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS predicted,
+         CASE WHEN n_chars < 500 THEN 0 WHEN n_chars < 2000 THEN 1 ELSE 2 END AS size_class, noise % 3 AS size_guess
+  FROM (SELECT *, (noise + 64 * quality) / 320.0::DOUBLE AS score
+        FROM (SELECT labels.*, n_chars, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 2) AS INTEGER) AS noise
+              FROM labels JOIN documents USING (doc_id))))"""
+SQL["class_summary"] = "WITH" + GRADED + """
+SELECT count(DISTINCT size_class) AS n_classes, max(size_class) + 1 AS max_plus_one FROM graded"""
+PER_CLASS = """
+per_class AS (
+  SELECT class, CASE WHEN predicted > 0 THEN hits / CAST(predicted AS DOUBLE) ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN hits / CAST(support AS DOUBLE) ELSE 0.0 END AS recall,
+         CASE WHEN hits > 0 THEN 2.0 * hits / (predicted + support) ELSE 0.0 END AS f1, support
+  FROM (SELECT class, count(*) FILTER (WHERE {y} = class) AS support, count(*) FILTER (WHERE {p} = class) AS predicted,
+               count(*) FILTER (WHERE {y} = class AND {p} = class) AS hits
+        FROM graded, (SELECT {y} AS class FROM graded UNION SELECT {p} FROM graded) GROUP BY class))"""
+_BIN, _MULTI = PER_CLASS.format(y="quality", p="predicted"), PER_CLASS.format(y="size_class", p="size_guess")
+SQL["classification_report"] = "WITH" + GRADED + "," + _BIN + f"""
+SELECT {rnd("(SELECT avg(CASE WHEN quality = predicted THEN 1.0 ELSE 0.0 END) FROM graded)")} AS validation_accuracy,
+       {rnd('precision')} AS precision, {rnd('recall')} AS recall, {rnd('f1')} AS f1, 'binary' AS averaging,
+       (SELECT count(*) FROM graded) AS n_test, '0,1' AS classes
+FROM per_class WHERE class = 1"""
+SQL["classification_report_macro"] = "WITH" + GRADED + "," + _MULTI + f"""
+SELECT {rnd("(SELECT avg(CASE WHEN size_class = size_guess THEN 1.0 ELSE 0.0 END) FROM graded)")} AS validation_accuracy,
+       {rnd('avg(precision)')} AS precision, {rnd('avg(recall)')} AS recall, {rnd('avg(f1)')} AS f1, 'macro' AS averaging,
+       (SELECT count(*) FROM graded) AS n_test, string_agg(CAST(class AS VARCHAR), ',' ORDER BY class) AS classes
+FROM per_class"""
+SQL["class_metrics"] = "WITH" + GRADED + "," + _MULTI + f"""
+SELECT class, {rnd('precision')} AS precision, {rnd('recall')} AS recall, {rnd('f1')} AS f1, support FROM per_class"""
+SQL["confusion_matrix"] = "WITH" + GRADED + "SELECT size_class, size_guess, count(*) AS n FROM graded GROUP BY 1, 2"
+SQL["roc_auc"] = "WITH" + GRADED + f"""
+SELECT {rnd("sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) / count(*)")} AS auc,
+       count(DISTINCT a.doc_id) AS n_pos, count(DISTINCT b.doc_id) AS n_neg
+FROM graded a, graded b WHERE a.quality = 1 AND b.quality = 0"""
+CURVE = """
+steps AS (
+  SELECT t AS threshold, count(*) FILTER (WHERE quality = 1) AS tp, count(*) FILTER (WHERE quality = 0) AS fp
+  FROM (SELECT DISTINCT score AS t FROM graded) JOIN graded ON score >= t GROUP BY t),
+totals AS (SELECT count(*) FILTER (WHERE quality = 1) AS p, count(*) FILTER (WHERE quality = 0) AS n FROM graded)"""
+SQL["roc_curve"] = "WITH" + GRADED + "," + CURVE + f"""
+SELECT {rnd('threshold')} AS threshold, tp, fp, {rnd('tp / CAST(p AS DOUBLE)')} AS tpr, {rnd('fp / CAST(n AS DOUBLE)')} AS fpr
+FROM steps, totals"""
+SQL["threshold_sweep"] = "WITH" + GRADED + "," + CURVE + f"""
+SELECT {rnd('threshold')} AS threshold, {rnd('tp / CAST(tp + fp AS DOUBLE)')} AS precision,
+       {rnd('tp / CAST(p AS DOUBLE)')} AS recall, {rnd('2.0 * tp / (tp + fp + p)')} AS f1
+FROM steps, totals"""
+PRICED = """
+priced AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS y, l_quantity * p_retailprice AS p
+  FROM lineitem JOIN part ON p_partkey = l_partkey)"""
+SQL["regression_report"] = "WITH" + PRICED + f""",
+r AS (
+  SELECT 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+         avg(y) AS m, stddev_samp(y) AS s, count(*) AS n FROM priced)
+SELECT {rnd('r2', 4)} AS validation_r2, {rnd('rmse', 4)} AS rmse, {rnd('mae', 4)} AS mae, {rnd('m', 4)} AS target_mean,
+       {rnd('s', 4)} AS target_std, n AS n_test, r2 >= 0.5 AS passed
+FROM r"""
+SQL["residuals"] = "WITH" + PRICED + f"""
+SELECT {_LINE}, {rnd('y - p', 4)} AS residual, {rnd('abs(y - p)', 4)} AS abs_residual FROM priced"""
+SQL["residual_summary"] = "WITH" + PRICED + f"""
+SELECT {rnd('avg(abs(y - p))', 4)} AS mean_abs_residual, count(*) FILTER (WHERE y = p) AS n_match, count(*) AS n FROM priced"""
+SQL["single_feature_auc"] = "WITH " + ",".join(ALL_SESSION_CTES) + f""",
+long AS (UNPIVOT (
+    SELECT target, CAST(COLUMNS(['n_page_views', 'n_clicks', 'n_pre_events', 'n_referrers', 'ip_bucket_freq', 'hour_of_day',
+      'n_rapid_events', 'click_after_pageview', 'pageview_after_click', 'device_bucket_16']) AS DOUBLE) FROM session_table)
+  ON COLUMNS(* EXCLUDE (target)) INTO NAME feature VALUE v),
+ranked AS (
+  SELECT feature, target, rank() OVER (PARTITION BY feature ORDER BY v)
+         + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 AS r FROM long),
+aucs AS (
+  SELECT feature, (sum(r) FILTER (WHERE target = 1) - np * (np + 1) / 2.0) / (np * nn) AS auc
+  FROM ranked JOIN (SELECT feature, CAST(sum(target) AS DOUBLE) AS np, CAST(count(*) - sum(target) AS DOUBLE) AS nn
+                    FROM long GROUP BY feature) USING (feature)
+  GROUP BY feature, np, nn)
+SELECT feature, {rnd('auc')} AS auc, greatest(auc, 1 - auc) > 0.95 AS leaks FROM aucs"""
+
+# --- incremental ---------------------------------------------------------------------------
+
+SQL["online_materialized"] = SQL["latest_features"]
+SQL["session_stream_totals"] = "WITH" + EV + """
+SELECT session_id, count(*) FILTER (WHERE event_type = 'page_view') AS n_page_views,
+       count(*) FILTER (WHERE event_type = 'click') AS n_clicks, count(*) AS n_events,
+       max(CASE WHEN event_type = 'conversion' THEN 1 ELSE 0 END) AS session_converted
+FROM ev GROUP BY session_id"""

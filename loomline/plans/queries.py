@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -9,10 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.operators import asof, interactions, metrics, pairs, recommend, sessions
+from loomline.functions import scalar as S
+from loomline.operators import (
+    asof,
+    interactions,
+    metrics,
+    models,
+    pairs,
+    profile,
+    recommend,
+    retrieval,
+    sessions,
+    splits,
+    tabular,
+)
 from loomline.operators.asof import FeatureView
-from loomline.operators.groups import checkpointed
-from loomline.plans import shapes
+from loomline.operators.groups import checkpointed, ensure_checkpoint_dir, lookup_join
+from loomline.plans import contracts, shapes
+from loomline.sources import sinks
+from loomline.streaming import online
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -271,3 +287,498 @@ def ranking_metrics(spark, sf_dir):
     train, test = popular_split(spark, sf_dir)
     recs = recommend.popular_unseen(test.select("user_id"), train, 10)
     return rounded(metrics.ranking_metrics(recs, test, 10, "user_id", "item_id"), 9)
+
+
+# --- corpus and search ---------------------------------------------------------------------
+
+@query
+def corpus_text(spark, sf_dir):
+    """Parts as a corpus: name and type as text, the other columns as JSON metadata."""
+    part = shapes.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"),
+        F.when(F.col("p_size") > 10, F.concat(F.lit(" "), "p_type", F.lit(" "))).alias("description"),
+        F.when(F.col("p_size") % 5 != 0, F.col("p_brand")).alias("brand"), F.col("p_size").alias("size"),
+    )
+    return retrieval.corpus(part)
+
+
+@query
+def document_corpus(spark, sf_dir):
+    """Documents as a corpus: their language and text joined."""
+    docs = shapes.table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "product_id")
+    items = retrieval.corpus(docs, ["lang", "text"], skip=["text"])
+    return items.select("item_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "metadata")
+
+
+def vectors(spark, sf_dir):
+    return shapes.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding", "label")
+
+
+def label_centres(items):
+    """The mean vector per label, as queries."""
+    parts = items.select("label", F.posexplode("embedding").alias("i", "x"))
+    means = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    rows = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    return rows.select(F.col("label").cast("bigint").alias("query_id"), F.col("v.x").alias("embedding"))
+
+
+@query
+def knn_l2(spark, sf_dir):
+    """The ten vectors nearest to each label's mean, with the hit's own label."""
+    items = vectors(spark, sf_dir)
+    hits = retrieval.search_with_metadata(items, label_centres(items), 10)
+    return rounded(hits.select("query_id", "item_id", "_distance", "rank", F.col("label").alias("hit_label")))
+
+
+@query
+def knn_l2_blocks(spark, sf_dir):
+    """The same search laid out on a grid of blocks, as used beyond the broadcast limit."""
+    items = vectors(spark, sf_dir)
+    hits = retrieval.search_with_metadata(items, label_centres(items), 10, max_broadcast=2000, block_rows=200)
+    return rounded(hits.select("query_id", "item_id", "_distance", "rank", F.col("label").alias("hit_label")))
+
+
+@query
+def knn_approx(spark, sf_dir):
+    """Cell-probing search for the same queries, with each hit's presence in the exact result."""
+    items = vectors(spark, sf_dir)
+    centres = checkpointed(label_centres(items))
+    model = retrieval.fit_cells(items, 16)
+    approx = retrieval.nearest_in_cells(items, centres, 10, model, n_probe=6)
+    exact = retrieval.nearest(items, centres, 10).select("query_id", "item_id", F.lit(1).alias("in_exact"))
+    return approx.join(exact, ["query_id", "item_id"], "left").fillna(0, ["in_exact"])
+
+
+@query
+def hashing_embed_search(spark, sf_dir):
+    """Benchmark passages searched among the documents by hashed word vectors."""
+    docs = shapes.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text", "lang")
+    model = retrieval.hashing_embedder("text", 256).fit(docs)
+    corpus = checkpointed(retrieval.embedded(model, docs).select("item_id", "lang", "embedding"))
+    asked = shapes.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    queries = retrieval.embedded(model, asked).select("query_id", "embedding")
+    return retrieval.search_with_metadata(corpus, queries, 5)
+
+
+@query
+def embedding_cosine_pairs(spark, sf_dir):
+    """Cosine of each vector with its label's mean vector."""
+    items = vectors(spark, sf_dir)
+    centres = label_centres(items).select(F.col("query_id").cast("int").alias("label"), F.col("embedding").alias("centre"))
+    joined = lookup_join(items, centres, ["label"])
+    return rounded(joined.select("item_id", "label", S.cosine("embedding", "centre").alias("cosine")))
+
+
+# --- numeric tables, splits and profiles ---------------------------------------------------
+
+@query
+def numeric_features(spark, sf_dir):
+    return rounded(tabular.housing_features(shapes.housing(spark, sf_dir)), 5)
+
+
+@query
+def geo_clusters(spark, sf_dir):
+    """Coordinates clustered on the training split; both splits get cluster and distance."""
+    df = shapes.housing(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "Latitude", "Longitude")
+    train, _ = splits.train_test(df, ["l_orderkey", "l_linenumber", "l_partkey"])
+    return tabular.with_geo_cluster(df, tabular.fit_geo_clusters(train, k=50))
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query
+def train_test_split(spark, sf_dir):
+    lines = shapes.table(spark, sf_dir, "lineitem").select(*LINE_KEY)
+    return splits.with_split(lines, LINE_KEY)
+
+
+@query
+def stratified_sample(spark, sf_dir):
+    """Two hundred orders per status."""
+    orders = shapes.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return splits.stratified_sample(orders, "o_orderstatus", ["o_orderkey"], 200)
+
+
+@query
+def eval_subsample(spark, sf_dir):
+    """Two thousand orders without replacement, the cap used for quick evaluations."""
+    orders = shapes.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return splits.sample_n(orders, ["o_orderkey"], 2000)
+
+
+@query
+def first_rows(spark, sf_dir):
+    """The first ten orders by date and key."""
+    orders = shapes.table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    return splits.first_rows(orders, ["o_orderdate", "o_orderkey"], 10)
+
+
+@query
+def class_balance(spark, sf_dir):
+    return rounded(profile.value_counts(shapes.table(spark, sf_dir, "labels"), "quality"))
+
+
+@query
+def class_summary(spark, sf_dir):
+    return profile.class_summary(shapes.graded(spark, sf_dir), "size_class")
+
+
+@query
+def balanced_weights(spark, sf_dir):
+    df = profile.with_balanced_weight(shapes.table(spark, sf_dir, "labels"), "toxic")
+    return rounded(df.select("doc_id", "toxic", "class_weight"))
+
+
+@query
+def dataset_profile(spark, sf_dir):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return rounded(profile.profile(shapes.table(spark, sf_dir, "lineitem"), cols), 5)
+
+
+@query
+def dataset_summary(spark, sf_dir):
+    return rounded(profile.dataset_summary(shapes.table(spark, sf_dir, "lineitem"), "l_discount"))
+
+
+@query
+def dataset_fingerprint(spark, sf_dir):
+    return sinks.fingerprint(shapes.table(spark, sf_dir, "lineitem"))
+
+
+@query
+def unseen_category(spark, sf_dir):
+    """Part types coded over the types of suppliers' first halves, the rest unseen."""
+    part = shapes.table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    known = profile.fit_vocabulary(part.where("p_type <> 'PROMO'"), "p_type")
+    coded = part.select(
+        "p_partkey", profile.category_code("p_type", known).alias("code"),
+        profile.one_hot("p_type", known).alias("hot"),
+    )
+    return coded.select("p_partkey", "code", F.concat_ws("", F.col("hot").cast("array<string>")).alias("hot"))
+
+
+@query
+def rare_categories(spark, sf_dir):
+    """Part names seen on fewer than the average number of parts become other."""
+    part = shapes.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    stats = part.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p_name").alias("d")).first()
+    return profile.with_rare_grouped(part, "p_name", -(-stats["n"] // stats["d"]))
+
+
+@query
+def drift_psi(spark, sf_dir):
+    """Event types of anonymous against identified events."""
+    events = shapes.clickstream(spark, sf_dir).select("user_id", "event_type")
+    return rounded(profile.drift(events.where("user_id IS NOT NULL"), events.where("user_id IS NULL"), "event_type"))
+
+
+@query
+def boundary_checks(spark, sf_dir):
+    rules = {
+        "known_referrer": F.col("referrer").isin(sessions.REFERRERS),
+        "has_ip": F.col("ip_bucket").isNotNull(),
+        "positive_value": F.col("value") > 0,
+        "known_type": F.col("event_type").isin(list(shapes.EVENT_TYPE_MAP.values())),
+    }
+    return profile.boundary_checks(shapes.clickstream(spark, sf_dir), rules)
+
+
+@query
+def price_zscore(spark, sf_dir):
+    offers = shapes.offerings(spark, sf_dir).select("catalog_id", "category", "retailer", "list_price")
+    return rounded(profile.price_zscore(offers, ["category", "retailer"], "list_price"))
+
+
+@query
+def last_click(spark, sf_dir):
+    """Each conversion credited to the referrer of the session's last click before it."""
+    return sessions.last_click_attribution(shapes.clickstream(spark, sf_dir)).select(
+        "event_id", "session_id", "click_event_id", "click_referrer"
+    )
+
+
+@query
+def feature_hashing(spark, sf_dir):
+    """Brand, type and name of every part hashed into 64 columns; the filled positions as text."""
+    part = shapes.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    return profile.hashed_features(part, ["p_brand", "p_type", "p_name"], 64).select(
+        "p_partkey", F.concat_ws(",", F.col("positions").cast("array<string>")).alias("positions")
+    )
+
+
+# --- metrics -------------------------------------------------------------------------------
+
+@query
+def classification_report(spark, sf_dir):
+    return rounded(metrics.classification_report(shapes.graded(spark, sf_dir), "quality", "predicted"))
+
+
+@query
+def classification_report_macro(spark, sf_dir):
+    return rounded(metrics.classification_report(shapes.graded(spark, sf_dir), "size_class", "size_guess"))
+
+
+@query
+def class_metrics(spark, sf_dir):
+    df = metrics.class_metrics(shapes.graded(spark, sf_dir), "size_class", "size_guess")
+    return rounded(df.drop("hits"))
+
+
+@query
+def confusion_matrix(spark, sf_dir):
+    return metrics.confusion_matrix(shapes.graded(spark, sf_dir), "size_class", "size_guess")
+
+
+@query
+def roc_auc(spark, sf_dir):
+    return rounded(metrics.roc_auc(shapes.graded(spark, sf_dir), "quality", "score"))
+
+
+@query
+def roc_curve(spark, sf_dir):
+    return rounded(metrics.roc_curve(shapes.graded(spark, sf_dir), "quality", "score"))
+
+
+@query
+def threshold_sweep(spark, sf_dir):
+    return rounded(metrics.threshold_sweep(shapes.graded(spark, sf_dir), "quality", "score"))
+
+
+def priced(spark, sf_dir):
+    """Extended price against quantity times the part's retail price."""
+    li = shapes.table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_quantity", "l_extendedprice")
+    part = shapes.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    joined = lookup_join(li, part, ["l_partkey"])
+    return joined.withColumn("predicted", F.col("l_quantity") * F.col("p_retailprice"))
+
+
+@query
+def regression_report(spark, sf_dir):
+    report = metrics.regression_report(priced(spark, sf_dir), "l_extendedprice", "predicted")
+    return rounded(metrics.with_gate(report, "validation_r2", 0.5), 4)
+
+
+@query
+def residuals(spark, sf_dir):
+    df = metrics.residuals(priced(spark, sf_dir), "l_extendedprice", "predicted")
+    return rounded(df.select(*LINE_KEY, "residual", "abs_residual"), 4)
+
+
+@query
+def residual_summary(spark, sf_dir):
+    return rounded(metrics.residual_summary(priced(spark, sf_dir), "l_extendedprice", "predicted"), 4)
+
+
+@query
+def single_feature_auc(spark, sf_dir):
+    """Every session feature's own AUC for the conversion label."""
+    table = sessions.session_features(shapes.clickstream(spark, sf_dir))
+    names = ["n_page_views", "n_clicks", "n_pre_events", "n_referrers", "ip_bucket_freq", "hour_of_day",
+             "n_rapid_events", "click_after_pageview", "pageview_after_click", "device_bucket_16"]
+    return rounded(metrics.feature_auc(table, "target", names))
+
+
+# --- fitted models -------------------------------------------------------------------------
+
+def fitted_scores(definition, df, params=None):
+    model, _, test, config = contracts.split_and_fit(definition, df, params)
+    scored = models.score(model, test, config.get("prediction_threshold"))
+    return scored, config
+
+
+@query
+def fit_score_boosted(spark, sf_dir):
+    """Session conversion: boosted trees with class weights, held-out sessions at the stored threshold."""
+    scored, _ = fitted_scores(contracts.SessionConversion(), shapes.clickstream(spark, sf_dir), {"max_iter": 10, "max_depth": 4})
+    return scored.select("session_id", "target", "probability", "prediction")
+
+
+class LineReturned(contracts.SupervisedDefinition):
+    """Was a line returned? Plain numeric columns of the line."""
+
+    name = "line_returned"
+    key = tuple(LINE_KEY)
+
+
+def returned_lines(spark, sf_dir):
+    li = shapes.table(spark, sf_dir, "lineitem")
+    late = (F.col("l_returnflag") == "R").cast("int")
+    return li.select(
+        *LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.month("l_shipdate").alias("ship_month"), late.alias("target"),
+    )
+
+
+@query
+def fit_score_forest(spark, sf_dir):
+    scored, _ = fitted_scores(LineReturned(), returned_lines(spark, sf_dir), {"n_estimators": 10})
+    return scored.select(*LINE_KEY, "target", "probability", "prediction")
+
+
+@query
+def fit_score_regressor(spark, sf_dir):
+    """Value regression on engineered columns plus clusters fitted on the training split."""
+    definition = contracts.HousingValue()
+    definition.key = LINE_KEY
+    scored, _ = fitted_scores(definition, shapes.housing(spark, sf_dir), {"max_iter": 5, "max_depth": 5, "max_bins": 64})
+    return metrics.residuals(scored, "target", "prediction").select(*LINE_KEY, "target", "prediction", "residual")
+
+
+class OrderPriority(contracts.SupervisedDefinition):
+    """Three-class problem on order columns, one boosted model per class."""
+
+    name = "order_status"
+    key = ("o_orderkey",)
+
+    def estimator(self, names, params, n_classes):
+        return models.boosted_classifier(names, params, n_classes=n_classes)
+
+
+def order_classes(spark, sf_dir):
+    orders = shapes.table(spark, sf_dir, "orders")
+    return orders.select(
+        "o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"),
+        S.label_code("o_orderstatus", {"F": 0, "O": 1, "P": 2}).alias("target"),
+    )
+
+
+@query
+def fit_score_multiclass(spark, sf_dir):
+    scored, _ = fitted_scores(OrderPriority(), order_classes(spark, sf_dir), {"max_iter": 3, "max_depth": 3})
+    return scored.select("o_orderkey", "target", "prediction")
+
+
+class OrderPerceptron(OrderPriority):
+    """The same problem with a two-layer perceptron."""
+
+    def estimator(self, names, params, n_classes):
+        return models.perceptron(names, n_classes, params)
+
+
+@query
+def fit_score_perceptron(spark, sf_dir):
+    scored, _ = fitted_scores(OrderPerceptron(), order_classes(spark, sf_dir), {"hidden": 8, "max_iter": 20})
+    return scored.select("o_orderkey", "target", "prediction")
+
+
+@query
+def saved_model_parity(spark, sf_dir):
+    """A saved and reloaded forest and one refitted from its config agree with the original."""
+    definition, df = LineReturned(), returned_lines(spark, sf_dir)
+    folder = scratch_folder(spark)
+    model, _, test, config = contracts.split_and_fit(definition, df, {"n_estimators": 5})
+    sinks.save_model(model, folder, spark, config, {})
+    reloaded, stored = sinks.load_model(spark, folder)
+    again, _, _, _ = contracts.split_and_fit(definition, df, stored["params"])
+    keyed = test.withColumn("row_id", S.md5_long(*LINE_KEY, "l_extendedprice", "l_quantity")).dropDuplicates(["row_id"])
+    base = models.score(model, keyed).select("row_id", "probability")
+    out = None
+    for name, other in (("reloaded", reloaded), ("refitted", again)):
+        row = metrics.prediction_parity(base, models.score(other, keyed), "row_id", "probability")
+        row = row.withColumn("model", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def permutation_importance(spark, sf_dir):
+    """AUC lost on labelled documents when the score or the size is permuted."""
+    df = shapes.graded(spark, sf_dir).select("doc_id", "score", "n_chars", F.col("quality").alias("target"))
+    model = models.random_forest(["score", "n_chars"], {"n_estimators": 10}).fit(df)
+    return models.permutation_importance(model, df, ["doc_id"], ["score", "n_chars"], repeats=3)
+
+
+def indexed_interactions(spark, sf_dir):
+    return interactions.prepare_interactions(shapes.interactions(spark, sf_dir), shapes.RECENCY[:-1])
+
+
+ALS_QUICK = {"als_factors": 16, "als_iterations": 5}
+
+
+@query
+def als_recommendations(spark, sf_dir):
+    """Ten unseen items for every user with a factor model fitted on the training interactions."""
+    data = indexed_interactions(spark, sf_dir)
+    model = recommend.fit_als(data.train, ALS_QUICK)
+    users = data.train.select("user_idx").distinct()
+    return recommend.recommend(model, users, 10, seen=data.train)
+
+
+@query
+def als_metrics(spark, sf_dir):
+    data = indexed_interactions(spark, sf_dir)
+    model = recommend.fit_als(data.train, ALS_QUICK)
+    recs = recommend.recommend(model, data.test.select("user_idx"), 10, seen=data.train)
+    return metrics.ranking_metrics(recs, data.test, 10)
+
+
+@query
+def recommendation_lists(spark, sf_dir):
+    """Served lists by customer id, unseen filter off; customers without a model row get an empty list."""
+    data = indexed_interactions(spark, sf_dir)
+    model = recommend.fit_als(data.train, ALS_QUICK)
+    users = data.entity_index.select(F.col("entity_idx").alias("user_idx"))
+    requests = shapes.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"))
+    recs = recommend.recommend(model, users, 10)
+    return recommend.recommendation_lists(requests, recs, data.entity_index, data.item_index)
+
+
+@query
+def retrieve_then_rank(spark, sf_dir):
+    """Offerings found for each part's own title, then ordered by a pair model's probability."""
+    offers, truth = matcher_parts(spark, sf_dir)
+    known = checkpointed(offers.join(truth, "catalog_id"))
+    n = known.count()
+    pair_table = pairs.matcher_pairs(known.drop("true_canonical_id", "true_category_path"), truth, n)
+    model = models.boosted_classifier(pairs.MATCHER_FEATURES, {"max_iter": 5, "max_depth": 4}).fit(pair_table)
+    titled = retrieval.corpus(known.select("catalog_id", "title"), ["title"])
+    embedder = retrieval.hashing_embedder("text", 64).fit(titled)
+    corpus = checkpointed(retrieval.embedded(embedder, titled).select("item_id", "embedding"))
+    wanted = (
+        known.groupBy("true_canonical_id").agg(F.min(F.struct("catalog_id", *pairs.MATCHER_COLUMNS[1:])).alias("q"))
+        .select(F.col("true_canonical_id").alias("query_id"), "q.*")
+    )
+    return cascade(spark, known, corpus, embedder, wanted, model)
+
+
+def cascade(spark, known, corpus, embedder, wanted, model, k=5):
+    asked = wanted.select("query_id", F.coalesce("title", F.lit("")).alias("text"))
+    queries = retrieval.embedded(embedder, asked).select("query_id", "embedding")
+    hits = retrieval.nearest(corpus, queries, k)
+    left = wanted.select("query_id", *[F.col(c).alias(f"a_{c}") for c in pairs.MATCHER_COLUMNS])
+    right = known.select(F.col("catalog_id").alias("item_id"), *[F.col(c).alias(f"b_{c}") for c in pairs.MATCHER_COLUMNS])
+    table = lookup_join(lookup_join(hits, left, ["query_id"]), right, ["item_id"])
+    scored = models.score(model, pairs.matcher_features(table))
+    return scored.select("query_id", "item_id", F.col("rank").alias("retrieved_rank"), "_distance", "probability")
+
+
+# --- incremental ---------------------------------------------------------------------------
+
+def scratch_folder(spark):
+    return f"{ensure_checkpoint_dir(spark)}/loomline/{uuid.uuid4().hex}"
+
+
+def event_stream(spark, sf_dir):
+    """The event file as a stream, in the clickstream shape."""
+    return shapes.clickstream_from(
+        spark.readStream.schema(shapes.table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
+    )
+
+
+@query
+def online_materialized(spark, sf_dir):
+    """Latest view features folded in by a streaming run, read back from the online table."""
+    stream, folder = event_stream(spark, sf_dir), scratch_folder(spark)
+    view = view_of_page_views(stream)
+    online.materialize_stream(view.source, view, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return online.read_online(spark, f"{folder}/table", view)
+
+
+@query
+def session_stream_totals(spark, sf_dir):
+    """Counts and conversion per session from a streaming run."""
+    folder = scratch_folder(spark)
+    events = event_stream(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    online.upsert_sessions(online.session_totals(events), f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return online.read_sessions(spark, f"{folder}/table")

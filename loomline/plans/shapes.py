@@ -23,9 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clickstream_from(table(spark, sf_dir, "events"))
+
+
+def clickstream_from(events: DataFrame) -> DataFrame:
     """Events as a clickstream: three-day sessions per user, nullable identifiers."""
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
-    ev = table(spark, sf_dir, "events").withColumn("k", k)
+    ev = events.withColumn("k", k)
     event_type = F.coalesce(*[F.when(F.col("event_type") == a, b) for a, b in EVENT_TYPE_MAP.items()])
     days = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
     referrer = F.coalesce(*[F.when(F.col("k") % 7 == i, r) for i, r in enumerate(REFERRERS)])
@@ -84,3 +88,34 @@ def offerings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("true_canonical_id"),
         F.col("p_type").alias("true_category_path"),
     )
+
+
+def housing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as a numeric table with two coordinate-like columns and a target."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        (F.col("l_quantity") / 5.0).alias("MedInc"),
+        (F.col("l_linenumber") * 7.0).alias("HouseAge"),
+        (F.col("l_tax") * 100.0 + 1.0).alias("AveRooms"),
+        (F.col("l_discount") * 10.0 + 0.5).alias("AveBedrms"),
+        (F.col("l_quantity") * 30.0 + F.col("l_linenumber")).alias("Population"),
+        (F.col("l_discount") * 20.0 + 1.0).alias("AveOccup"),
+        (F.lit(32.5) + (F.col("l_partkey") % 1000) / 100.0).alias("Latitude"),
+        (F.lit(-124.0) + (F.col("l_suppkey") % 1000) / 100.0).alias("Longitude"),
+        (F.col("l_extendedprice") / 100000.0).alias("target"),
+    )
+
+
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with a deterministic score in [0, 1) that leans on the label, and two predictions."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    joined = table(spark, sf_dir, "labels").join(docs, "doc_id")
+    noise = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 2), 16, 10).cast("int")
+    score = (noise + 64 * F.col("quality")) / F.lit(320.0)
+    three = F.when(F.col("n_chars") < 500, 0).when(F.col("n_chars") < 2000, 1).otherwise(2)
+    return joined.select(
+        "doc_id", "lang", "n_chars", "quality", "toxic", score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"),
+        three.alias("size_class"), (noise % 3).alias("size_guess"),
+    )
