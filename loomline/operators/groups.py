@@ -31,6 +31,9 @@ ROWS_PER_TASK = 2_000_000
 # Input bytes per slice when a group or a whole table is split into ranges.
 SLICE_BYTES = 16 * 1024 * 1024
 MAX_SLICES = 100_000
+# Estimates from here on mean that the optimizer does not know a size.
+UNKNOWN_BYTES = 2**60
+ROW_BYTES = 64
 # Upper bound on the number of keys treated as hot (bounds what is broadcast).
 MAX_HOT_KEYS = 20_000
 
@@ -92,19 +95,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """Keys with more rows than one task should hold, or ``None``.
 
     The threshold is at least ``total / MAX_HOT_KEYS``, so no more than
-    ``MAX_HOT_KEYS`` keys can exceed it and the result may be collected and
-    broadcast at any scale.
+    ``MAX_HOT_KEYS`` keys can exceed it and the result may be broadcast at any scale.
     """
     if is_small_input(df):
         return None
-    spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.count()
-    limit = max(_setting(spark, "rowsPerTask", ROWS_PER_TASK), total / MAX_HOT_KEYS)
-    hot = counts.where(F.col("_rows") > limit).select(*keys).collect()
-    if not hot:
-        return None
-    return spark.createDataFrame(hot, schema=df.select(*keys).schema)
+    limit = max(_setting(df.sparkSession, "rowsPerTask", ROWS_PER_TASK), total / MAX_HOT_KEYS)
+    hot = checkpointed(counts.where(F.col("_rows") > limit).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
 def needs_split(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -126,8 +125,11 @@ def _range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     The slice number comes from the physical partition, so the frame is written
     to reliable storage once; later steps and task retries all see the same one.
     """
-    size = input_bytes(df) / max(1, _setting(df.sparkSession, "sliceBytes", SLICE_BYTES))
-    slices = int(min(max(2, math.ceil(size)), MAX_SLICES))
+    per_slice = max(1, _setting(df.sparkSession, "sliceBytes", SLICE_BYTES))
+    size = input_bytes(df)
+    if size >= UNKNOWN_BYTES:  # some leaf has no size: count rows instead
+        size = df.count() * ROW_BYTES
+    slices = min(max(2, math.ceil(size / per_slice)), MAX_SLICES)
     sorted_parts = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     return checkpointed(sorted_parts.withColumn(_PART, F.spark_partition_id()))
 

@@ -71,6 +71,16 @@ def compare(spark, con, name, fn, sql, sf_dir):
     return problems
 
 
+def force_split(spark, on: bool = True):
+    """Make every group count as hot, so that the split forms run on small data."""
+    settings = {"smallInputBytes": 0, "rowsPerTask": 5, "sliceBytes": 20_000, "broadcastBytes": 0}
+    for key, value in settings.items():
+        if on:
+            spark.conf.set(f"spark.loomline.{key}", str(value))
+        else:
+            spark.conf.unset(f"spark.loomline.{key}")
+
+
 def main() -> int:
     from loomline.plans.oracles import SQL
     from loomline.plans.queries import QUERIES
@@ -80,6 +90,8 @@ def main() -> int:
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)
     spark, con, bad = local_session(), connect(sf_dir), 0
+    if os.environ.get("FORCE_SPLIT"):
+        force_split(spark)
     for name in names:
         start = time.time()
         try:
