@@ -69,6 +69,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(stored: DataFrame) -> DataFrame:
+    """Give a stored table at least as many partitions as the cluster has cores.
+
+    For iterative training over a table whose few files would leave cores idle; a
+    table with more partitions than cores is returned as it is.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+
+
 def input_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate summed over the plan's leaves (no job)."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -129,8 +129,8 @@ RATE_DIGITS = 4
 
 
 def rnd(expr: str, digits: int = 6) -> str:
-    """Rounding with the same small shift as the queries (see ``queries.rnd``)."""
-    return f"round({expr} + 3.141e-{digits + 1}, {digits})"
+    """The rounding arithmetic of ``queries.rnd``."""
+    return f"(floor(({expr}) * 1e{digits} + 0.8141) / 1e{digits})"
 
 
 def rounded(columns: dict[str, int | None], source: str, ctes: list[str]) -> str:
@@ -508,7 +508,7 @@ engineered AS (
   FROM ratios)"""
 SQL["numeric_features"] = "WITH" + HOUSE + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       round(COLUMNS(* EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey)) + 3.141e-6, 5)
+       floor(COLUMNS(* EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey)) * 1e5 + 0.8141) / 1e5
 FROM engineered"""
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators.sessions import REFERRERS
+from loomline.session import tune
 
 # Fixed values.
 EVENT_TYPE_MAP = {
@@ -18,8 +19,7 @@ EVENT_TYPE_MAP = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
