@@ -34,6 +34,8 @@ MAX_SLICES = 100_000
 # Estimates from here on mean that the optimizer does not know a size.
 UNKNOWN_BYTES = 2**60
 ROW_BYTES = 64
+# Assumed size of one value when a counted table is weighed for broadcasting.
+CELL_BYTES = 32
 # Upper bound on the number of keys treated as hot (bounds what is broadcast).
 MAX_HOT_KEYS = 20_000
 
@@ -306,7 +308,9 @@ def group_percentiles(
 def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``facts`` to ``dim`` (one row per key) without piling a hot key on one task.
 
-    A small ``dim`` is broadcast. Otherwise rows of hot keys are joined to a
+    A small ``dim`` is broadcast: by the optimizer's estimate, or, when that is over
+    the limit, by the counted size of the written ``dim`` (estimates of aggregates
+    are far too high). Otherwise rows of hot keys are joined to a
     broadcast of just those keys' ``dim`` rows (at most ``MAX_HOT_KEYS``), and all
     other rows go through the ordinary shuffle join. ``how`` is any join that
     keeps rows of ``facts``: inner, left, left_semi or left_anti.
@@ -317,6 +321,9 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     limit = _setting(facts.sparkSession, "broadcastBytes", BROADCAST_BYTES)
     if output_bytes(dim) <= limit:
         return facts.join(F.broadcast(dim), on, how)
+    dim = checkpointed(dim)
+    if dim.count() * len(dim.columns) * CELL_BYTES <= limit:
+        return facts.join(F.broadcast(dim), on, how)
     hot = hot_keys(facts, on)
     if hot is None:
         return facts.join(dim, on, how)

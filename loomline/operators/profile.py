@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions import scalar as S
-from loomline.operators.groups import lookup_join
+from loomline.operators.groups import checkpointed, lookup_join
 
 
 def dataset_summary(df: DataFrame, target: str) -> DataFrame:
@@ -49,7 +49,7 @@ def class_summary(df: DataFrame, label: str) -> DataFrame:
 
 def with_balanced_weight(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:
     """Weight ``n / (n_classes * n_class)``, so that every class weighs the same in total."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
+    counts = checkpointed(df.groupBy(label).agg(F.count(F.lit(1)).alias("_c")))
     totals = counts.agg(F.sum("_c"), F.count(F.lit(1))).first()
     weights = counts.select(label, (F.lit(float(totals[0] or 0)) / (F.lit(totals[1] or 1) * F.col("_c"))).alias(name))
     return lookup_join(df, weights, [label])

@@ -272,8 +272,13 @@ def session_features(
     vocabulary: Sequence[str] = REFERRERS,
     label: Column | None = None,
     null_ip_bucket: int = -1,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
-    """All session features (55 with the standard vocabulary) plus ``target``."""
+    """All session features (55 with the standard vocabulary) plus ``target``.
+
+    ``labels`` (session_id, target) may be given separately; ``events`` then needs
+    only the pre-decision rows, which lets a filtered scan feed the features.
+    """
     aggs = [
         *type_count_aggs(), *context_aggs(), *referrer_aggs(vocabulary),
         *device_aggs(), *referrer_sequence_aggs(), *transition_aggs(),
@@ -287,7 +292,9 @@ def session_features(
     df = with_ip_frequency(df)
     df = df.fillna({"ip_bucket": null_ip_bucket}).fillna(0)
     df = with_interactions(df)
-    return df.join(session_labels(events, label), KEY, "inner")
+    if labels is None:
+        labels = session_labels(events, label)
+    return df.join(labels, KEY, "inner")
 
 
 def last_click_attribution(events: DataFrame) -> DataFrame:

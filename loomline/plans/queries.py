@@ -60,45 +60,53 @@ def rounded(df: DataFrame, digits: int = 6, special: dict[str, int] | None = Non
 
 # --- sessions ------------------------------------------------------------------------------
 
+def before_decision(spark, sf_dir):
+    return shapes.clickstream(spark, sf_dir, sessions.PRE_DECISION_TYPES)
+
+
+def session_table(spark, sf_dir):
+    labels = sessions.session_labels(shapes.clickstream(spark, sf_dir))
+    return sessions.session_features(before_decision(spark, sf_dir), labels=labels)
+
+
 @query
 def session_type_counts(spark, sf_dir):
-    return rounded(sessions.session_type_counts(shapes.clickstream(spark, sf_dir)))
+    return rounded(sessions.session_type_counts(before_decision(spark, sf_dir)))
 
 
 @query
 def session_context(spark, sf_dir):
-    return rounded(sessions.session_context(shapes.clickstream(spark, sf_dir)))
+    return rounded(sessions.session_context(before_decision(spark, sf_dir)))
 
 
 @query
 def session_gaps(spark, sf_dir):
-    return rounded(sessions.session_gaps(shapes.clickstream(spark, sf_dir)))
+    return rounded(sessions.session_gaps(before_decision(spark, sf_dir)))
 
 
 @query
 def session_transitions(spark, sf_dir):
-    return rounded(sessions.session_transitions(shapes.clickstream(spark, sf_dir)))
+    return rounded(sessions.session_transitions(before_decision(spark, sf_dir)))
 
 
 @query
 def session_referrer_onehot(spark, sf_dir):
-    events = shapes.clickstream(spark, sf_dir)
-    return rounded(sessions.session_referrers(events))
+    return rounded(sessions.session_referrers(before_decision(spark, sf_dir)))
 
 
 @query
 def session_referrer_sequence(spark, sf_dir):
-    return rounded(sessions.session_referrer_sequence(shapes.clickstream(spark, sf_dir)))
+    return rounded(sessions.session_referrer_sequence(before_decision(spark, sf_dir)))
 
 
 @query
 def session_device_buckets(spark, sf_dir):
-    return sessions.session_device_buckets(shapes.clickstream(spark, sf_dir))
+    return sessions.session_device_buckets(before_decision(spark, sf_dir))
 
 
 @query
 def session_ip_frequency(spark, sf_dir):
-    return sessions.session_ip_frequency(shapes.clickstream(spark, sf_dir))
+    return sessions.session_ip_frequency(before_decision(spark, sf_dir))
 
 
 @query
@@ -112,7 +120,7 @@ RATE_DIGITS = {"clicks_per_minute": 4, "page_views_per_minute": 4}
 
 @query
 def session_features(spark, sf_dir):
-    return rounded(sessions.session_features(shapes.clickstream(spark, sf_dir)), special=RATE_DIGITS)
+    return rounded(session_table(spark, sf_dir), special=RATE_DIGITS)
 
 
 # --- pairs ---------------------------------------------------------------------------------
@@ -199,26 +207,27 @@ def conversions(events):
 
 @query
 def asof_features(spark, sf_dir):
-    events = shapes.clickstream(spark, sf_dir)
-    return asof.as_of_join(conversions(events), view_of_page_views(events), feature_ts="view_ts")
+    views = view_of_page_views(shapes.clickstream(spark, sf_dir, ["page_view"]))
+    entities = conversions(shapes.clickstream(spark, sf_dir, ["conversion"]))
+    return asof.as_of_join(entities, views, feature_ts="view_ts")
 
 
 @query
 def asof_features_ttl(spark, sf_dir):
-    events = shapes.clickstream(spark, sf_dir)
-    view = view_of_page_views(events, timedelta(days=2))
-    return asof.as_of_join(conversions(events), view, feature_ts="view_ts")
+    views = view_of_page_views(shapes.clickstream(spark, sf_dir, ["page_view"]), timedelta(days=2))
+    entities = conversions(shapes.clickstream(spark, sf_dir, ["conversion"]))
+    return asof.as_of_join(entities, views, feature_ts="view_ts")
 
 
 @query
 def latest_features(spark, sf_dir):
-    return asof.latest_rows(view_of_page_views(shapes.clickstream(spark, sf_dir)))
+    return asof.latest_rows(view_of_page_views(shapes.clickstream(spark, sf_dir, ["page_view"])))
 
 
 @query
 def online_lookup(spark, sf_dir):
     """Every customer asks for its latest view features; those without events get nulls."""
-    view = view_of_page_views(shapes.clickstream(spark, sf_dir))
+    view = view_of_page_views(shapes.clickstream(spark, sf_dir, ["page_view"]))
     requests = shapes.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("true_user_id"))
     return asof.online_lookup(requests, asof.latest_rows(view), view)
 
@@ -497,7 +506,7 @@ def price_zscore(spark, sf_dir):
 @query
 def last_click(spark, sf_dir):
     """Each conversion credited to the referrer of the session's last click before it."""
-    return sessions.last_click_attribution(shapes.clickstream(spark, sf_dir)).select(
+    return sessions.last_click_attribution(shapes.clickstream(spark, sf_dir, ["click", "conversion"])).select(
         "event_id", "session_id", "click_event_id", "click_referrer"
     )
 
@@ -577,7 +586,7 @@ def residual_summary(spark, sf_dir):
 @query
 def single_feature_auc(spark, sf_dir):
     """Every session feature's own AUC for the conversion label."""
-    table = sessions.session_features(shapes.clickstream(spark, sf_dir))
+    table = session_table(spark, sf_dir)
     names = ["n_page_views", "n_clicks", "n_pre_events", "n_referrers", "ip_bucket_freq", "hour_of_day",
              "n_rapid_events", "click_after_pageview", "pageview_after_click", "device_bucket_16"]
     return rounded(metrics.feature_auc(table, "target", names))
