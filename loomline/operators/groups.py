@@ -190,42 +190,60 @@ def with_lag(
 
 def with_running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: dict[str, str | Column],
-    split: bool | None = None,
+    split: bool | None = None, totals: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums ``{new: source}`` in ``order`` within each group."""
-    keys = list(keys)
+    """Add inclusive running sums ``{new: source}`` in ``order`` within each group.
+
+    ``totals`` adds ``{new: running sum's name}``: the same sum over the whole group.
+    """
+    keys, totals = list(keys), totals or {}
     if split is None:
         split = needs_split(df, keys)
     rows_so_far = (Window.unboundedPreceding, 0)
     if keys and not split:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*rows_so_far)
-        return df.withColumns({new: F.sum(src).over(w) for new, src in cols.items()})
+        whole = Window.partitionBy(*keys)
+        ordered = whole.orderBy(*order).rowsBetween(*rows_so_far)
+        return df.withColumns(
+            {new: F.sum(src).over(ordered) for new, src in cols.items()}
+            | {t: F.sum(cols[new]).over(whole) for t, new in totals.items()}
+        )
     parts = _range_slices(df, keys, order)
-    local = Window.partitionBy(*keys, _PART).orderBy(*order).rowsBetween(*rows_so_far)
-    out = parts.withColumns({new: F.sum(src).over(local) for new, src in cols.items()})
-    before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys, _PART)
+    ordered = whole.orderBy(*order).rowsBetween(*rows_so_far)
+    out = parts.withColumns(
+        {new: F.sum(src).over(ordered) for new, src in cols.items()}
+        | {t: F.sum(cols[new]).over(whole) for t, new in totals.items()}
+    )
+    across = Window.partitionBy(*keys)
+    before = across.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         parts.groupBy(*keys, _PART)
         .agg(*[F.sum(src).alias(f"_s_{new}") for new, src in cols.items()])
         .withColumns(
             {f"_o_{new}": F.sum(f"_s_{new}").over(before) for new in cols}
-            | {"_earlier": F.count(F.lit(1)).over(before)}
+            | {f"_t_{t}": F.sum(f"_s_{new}").over(across) for t, new in totals.items()}
+            | {"_slices": F.count(F.lit(1)).over(across)}
         )
-        .where("_earlier > 0")
+        .where("_slices > 1")
     )
-    out = _join_carry(out, carry, keys, [f"_o_{new}" for new in cols])
+    out = _join_carry(out, carry, keys, [f"_o_{new}" for new in cols] + [f"_t_{t}" for t in totals])
     return out.withColumns(
         {n: F.col(n) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)) for n in cols}
-    ).drop(_PART, *[f"_o_{n}" for n in cols])
+        | {t: F.coalesce(F.col(f"_t_{t}"), F.col(t)) for t in totals}
+    ).drop(_PART, *[f"_o_{n}" for n in cols], *[f"_t_{t}" for t in totals])
 
 
 def with_position(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "position",
-    split: bool | None = None,
+    split: bool | None = None, size: str | None = None,
 ) -> DataFrame:
-    """Number rows 0..n-1 in ``order`` within each group (the whole table if no keys)."""
+    """Number rows 0..n-1 in ``order`` within each group (the whole table if no keys).
+
+    ``size`` names a further column with the number of rows of the group.
+    """
     numbered = with_running_sum(
-        df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {name: "_one"}, split
+        df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {name: "_one"}, split,
+        totals={size: name} if size else None,
     )
     return numbered.withColumn(name, F.col(name) - 1).drop("_one")
 
@@ -285,18 +303,14 @@ def group_percentiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = with_running_sum(freq, keys, [F.col(value)], {"_hi": "_c"}, split=True)
-    totals = freq.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    joined = lookup_join(ranked, totals, keys, "inner") if keys else None
-    if joined is None:
-        raise ValueError("group_percentiles needs at least one key")
+    ranked = with_running_sum(freq, keys, [F.col(value)], {"_hi": "_c"}, True, totals={"_n": "_hi"})
     aggs = []
     for i, p in enumerate(probs.values()):
         at = F.lit(p) * (F.col("_n") - 1)
         for tag, rank in (("lo", F.floor(at)), ("up", F.ceil(at))):
             here = (F.col("_hi") - F.col("_c") <= rank) & (rank < F.col("_hi"))
             aggs.append(F.max(F.when(here, F.col(value))).alias(f"_{tag}{i}"))
-    picked = joined.groupBy(*keys).agg(F.first("_n").alias("_n"), *aggs)
+    picked = ranked.groupBy(*keys).agg(F.first("_n").alias("_n"), *aggs)
     cols = []
     for i, (name, p) in enumerate(probs.items()):
         at = F.lit(p) * (F.col("_n") - 1)
@@ -333,18 +347,6 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     return hot_facts.join(F.broadcast(hot_dim), on, how).unionByName(cold_facts.join(dim, on, how))
 
 
-def with_group_size(
-    df: DataFrame, keys: Sequence[str], name: str, split: bool | None = None
-) -> DataFrame:
-    """Add the number of rows of each row's group."""
-    keys = list(keys)
-    if split is None:
-        split = needs_split(df, keys)
-    if not split:
-        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    return lookup_join(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, "left")
-
-
 def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows in ``order``; ``n`` may be as large as the table.
 

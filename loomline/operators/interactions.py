@@ -12,8 +12,6 @@ from loomline.functions import scalar as S
 from loomline.operators.groups import (
     checkpointed,
     lookup_join,
-    needs_split,
-    with_group_size,
     with_position,
 )
 
@@ -96,10 +94,8 @@ def leave_k_out(
     Users with fewer than ``min_size`` items stay in training. The order is a hash
     of (seed, user, item), so the split does not depend on partitioning.
     """
-    split = needs_split(df, [user])
     hashed = df.withColumn("_h", S.md5_long(F.lit(str(seed)), user, item))
-    placed = with_position(hashed, [user], [F.col("_h"), F.col(item)], "_pos", split)
-    sized = with_group_size(placed, [user], "_n", split)
+    sized = with_position(hashed, [user], [F.col("_h"), F.col(item)], "_pos", size="_n")
     n_test = F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(fraction)).cast("bigint"))
     is_test = (F.col("_n") >= min_size) & (F.col("_pos") < n_test)
     return sized.withColumn("is_test", is_test).drop("_h", "_pos", "_n")
