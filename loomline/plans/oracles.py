@@ -249,8 +249,9 @@ grp AS (SELECT true_user_id, n, row_number() OVER (ORDER BY true_user_id) - 1 AS
 pos_draws AS (
   SELECT draw, true_user_id, ma, (ma + 1 + {draw('second')} % (n - 1)) % n AS mb
   FROM (SELECT draw, true_user_id, n, {draw('first')} % n AS ma
-        FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS draw FROM ev) d
-        JOIN grp ON g = {draw('group')} % (SELECT count(*) FROM grp))),
+        FROM (SELECT draw, {draw('group')} % (SELECT count(*) FROM grp) AS g
+              FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS draw FROM ev)) d
+        JOIN grp USING (g))),
 pos AS (
   SELECT d.draw AS pair_id, 1 AS target, a.event_id AS a_event_id, b.event_id AS b_event_id
   FROM pos_draws d
@@ -312,9 +313,10 @@ grp AS (SELECT true_canonical_id, n, row_number() OVER (ORDER BY true_canonical_
 pos_draws AS (
   SELECT draw, true_canonical_id, ma, (ma + 1 + {draw('second')} % (n - 1)) % n AS mb
   FROM (SELECT draw, true_canonical_id, n, {draw('first')} % n AS ma
-        FROM (SELECT i * 4 + c.range AS draw
-              FROM (SELECT row_number() OVER (ORDER BY catalog_id) - 1 AS i FROM offers), range(4) c) d
-        JOIN grp ON g = {draw('group')} % (SELECT count(*) FROM grp))),
+        FROM (SELECT draw, {draw('group')} % (SELECT count(*) FROM grp) AS g
+              FROM (SELECT i * 4 + c.range AS draw
+                    FROM (SELECT row_number() OVER (ORDER BY catalog_id) - 1 AS i FROM offers), range(4) c)) d
+        JOIN grp USING (g))),
 pos AS (
   SELECT d.draw AS pair_id, 1 AS target, a.catalog_id AS a_catalog_id, b.catalog_id AS b_catalog_id
   FROM pos_draws d

@@ -89,7 +89,13 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)
-    spark, con, bad = local_session(), connect(sf_dir), 0
+    if os.environ.get("PLAIN_SESSION"):  # a session without any of our settings
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session()
+    con, bad = connect(sf_dir), 0
     if os.environ.get("FORCE_SPLIT"):
         force_split(spark)
     for name in names:
