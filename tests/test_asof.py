@@ -2,7 +2,14 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from loomline.operators.asof import FeatureView, as_of_join, latest_rows, online_lookup
+from loomline.operators.asof import (
+    FeatureView,
+    as_of_join,
+    historical_features,
+    latest_rows,
+    online_features,
+    online_lookup,
+)
 from loomline.sources.readers import read_entities, read_feature_view
 
 D = datetime(2024, 3, 1)
@@ -57,6 +64,20 @@ def test_latest_and_lookup(spark, grouping):
     assert sorted(str(r["x"]) for r in online_lookup(asked, latest, v, now="now").collect()) == ["9.0", "None", "None"]
 
 
+def test_features_by_reference(spark, asked):
+    prices = spark.createDataFrame([("a", D, 10, 1), ("a", D + timedelta(days=1), 20, 2)], "k string, at timestamp_ntz, price int, stock int")
+    views = [view(spark, None), FeatureView("shop", ("k",), "at", ("price", "stock"), prices)]
+    got = historical_features(asked, views, ["v:x", "shop:price"])
+    assert got.columns == [*asked.columns, "x", "price"]
+    assert {r["id"]: (r["x"], r["price"]) for r in got.where("id in (2, 3, 5)").collect()} == {2: (1.0, 10), 3: (2.0, 20), 5: (None, None)}
+    keys = spark.createDataFrame([("a",), ("q",)], "k string")
+    now = online_features(keys, views, ["shop:stock"], {"shop": latest_rows(views[1])})
+    assert {r["k"]: r["stock"] for r in now.collect()} == {"a": 2, "q": None}
+    for bad in ("nowhere:x", "shop:colour"):
+        with pytest.raises(ValueError):
+            historical_features(asked, views, [bad])
+
+
 def test_view_and_entities_from_files(spark, tmp_path):
     rows = [(1, D, 0.5, 3.0), (2, D, 0.25, 4.0)]
     spark.createDataFrame(rows, "signal_id int, event_timestamp timestamp, f0 double, f1 double").write.parquet(f"{tmp_path}/f")
