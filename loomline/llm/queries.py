@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import simhash
+from loomline.llm import simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +32,14 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows with crc32 mod 3 of one teach nothing."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(1, 3))
+    model = toxicity.train(docs.where("not held_out"), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, ["doc_id", "held_out"])
+    return scored.select(
+        "doc_id", "held_out", F.col("_score").alias("score"), F.when(F.col("_score") >= toxicity.LIMIT, 1).otherwise(0).alias("predicted")
+    )
