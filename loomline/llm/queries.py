@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import simhash, toxicity
+from loomline.llm import decontaminate, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,10 @@ def op6_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", F.col("_score").alias("score"), F.when(F.col("_score") >= toxicity.LIMIT, 1).otherwise(0).alias("predicted")
     )
+
+
+@query
+def op8_seeded_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items that leaked into documents, with the aligned stretch of words."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "start", "end")
