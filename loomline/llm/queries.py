@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, simhash, toxicity
+from loomline.llm import decontaminate, mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,10 @@ def op8_seeded_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test items that leaked into documents, with the aligned stretch of words."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "start", "end")
+
+
+@query
+def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    mixed = mixing.taken(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
