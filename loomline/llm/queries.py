@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, mixing, simhash, toxicity
+from loomline.llm import decontaminate, mixing, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +57,13 @@ def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mixed = mixing.taken(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op5_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every finding that the forest takes for a secret, with its place in the document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.where(F.col("score") >= secret_scan.LIMIT).select(
+        "doc_id", "position", F.sha2("value", 256).alias("secret_sha256"), F.length("value").alias("length"),
+        F.round("score", 6).alias("score"),
+    )
