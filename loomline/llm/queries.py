@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, mixing, secret_scan, simhash, toxicity
+from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,12 @@ def op5_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "position", F.sha2("value", 256).alias("secret_sha256"), F.length("value").alias("length"),
         F.round("score", 6).alias("score"),
     )
+
+
+@query
+def op10_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, the base rules and the outlier verdict."""
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
