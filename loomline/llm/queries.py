@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity
+from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,17 @@ def op10_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+#: Rules of the registered query: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op1_template_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page: the longest rule's, else the template tree's."""
+    found = url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
