@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity, url_templates
+from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,10 @@ def op1_template_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page: the longest rule's, else the template tree's."""
     found = url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
+
+
+@query
+def op3_anchor_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeated passages of 20 words cover, and what is left."""
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
