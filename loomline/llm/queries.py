@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates
+from loomline.llm import decontaminate, language, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,12 @@ def op3_anchor_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeated passages of 20 words cover, and what is left."""
     found = substrings.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op2_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with crc32 mod 4 of two teach nothing."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(2, 4))
+    net = language.train(docs.where("not held_out").select("doc_id", "text", "lang"))
+    found = language.identify(docs, net, ["doc_id", "held_out"])
+    return found.withColumnRenamed("lang_score", "score")
