@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, language, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates
+from loomline.llm import decontaminate, language, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,9 @@ def op2_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = language.train(docs.where("not held_out").select("doc_id", "text", "lang"))
     found = language.identify(docs, net, ["doc_id", "held_out"])
     return found.withColumnRenamed("lang_score", "score")
+
+
+@query
+def op4_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
