@@ -58,7 +58,10 @@ AROUND_WORDS = frozenset(
     "comments commentlist reply replies respond disqus share sharing social related recommended newsletter subscribe subscription "
     "signup login popup modal overlay toolbar pagination pager widget widgets skip copyright disclaimer search complementary contentinfo".split()
 )
-KEPT_TAGS = frozenset("html body main article".split())
+KEPT_TAGS = frozenset("html body main".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond promo promoted sponsored related".split())
+# Share of a slot's text in links from which a region without an ``article`` leaves it out.
+LINKED = 0.6
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
@@ -66,11 +69,11 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])|[0-9]{3,}")
 
 
 def _label(tag: str, attributes: str) -> str:
-    """Tag with its class, id and role words (numbers left out)."""
+    """Tag with its class, id and role words (numbers of three digits and more left out)."""
     if "=" not in attributes:
         return tag
     words = []
@@ -82,7 +85,9 @@ def _label(tag: str, attributes: str) -> str:
 def around(label: str) -> bool:
     """Whether a group of this label surrounds the article instead of belonging to it."""
     tag, *words = label.split(".")
-    return tag not in KEPT_TAGS and (tag in AROUND_TAGS or not AROUND_WORDS.isdisjoint(words))
+    if tag in KEPT_TAGS:
+        return False
+    return tag in AROUND_TAGS or not (COMMENT_WORDS if tag == "article" else AROUND_WORDS).isdisjoint(words)
 
 
 # -- reading ------------------------------------------------------------------
@@ -282,12 +287,26 @@ def _named_regions(node: Node, tag: str, path: tuple[str, ...]) -> list[tuple[st
     return out
 
 
-def main_regions(root: Node) -> list[tuple[str, ...]]:
-    """Paths of the wrapper's main region."""
+Path = tuple[str, ...]
+
+
+def _link_slots(node: Node, path: Path) -> list[Path]:
+    """Paths below ``node`` whose text is mostly links."""
+    text = [p for p in node.parts if p.label == TEXT]
+    size = sum(p.size for p in text)
+    out = [path] if size and sum(p.linked for p in text) >= LINKED * size else []
+    for p in node.parts:
+        if p.label != TEXT:
+            out += _link_slots(p, path if p.label == GROUP else (*path, p.label))
+    return out
+
+
+def main_regions(root: Node) -> tuple[list[Path], list[Path]]:
+    """Paths of the wrapper's main region, and paths inside it that hold links only."""
     for tag in ("article", "main"):
         found = _named_regions(root, tag, ())
         if found:
-            return list(dict.fromkeys(found))
+            return list(dict.fromkeys(found)), []
     node, path = root, ()
     while True:
         inner = []
@@ -298,16 +317,19 @@ def main_regions(root: Node) -> list[tuple[str, ...]]:
             by_label[p.label] = by_label.get(p.label, 0) + _mass(p)
         whole = sum(by_label.values())
         top = max((p for p in inner if p.label != TEXT), key=lambda p: by_label[p.label], default=None)
-        if not whole or top is None or top.repeated or by_label[top.label] < DOMINANT * whole or not any(q.label != TEXT for q in top.parts):
-            return [path] if whole else []
+        if not whole:
+            return [], []
+        if top is None or top.repeated or by_label[top.label] < DOMINANT * whole or all(q.label == TEXT for q in top.parts):
+            return [path], list(dict.fromkeys(_link_slots(node, path)))
         node, path = top, (*path, top.label)
 
 
-def text_of(page: str | None, regions: list[tuple[str, ...]]) -> str:
-    """The page's blocks inside the regions, white space made single, joined by one space."""
+def text_of(page: str | None, rule: tuple[list[Path], list[Path]]) -> str:
+    """The page's blocks that the rule keeps, white space made single, joined by one space."""
+    regions, links = rule
     out = []
     for path, pieces in blocks(page):
-        if pieces is None or any(around(x) for x in path):
+        if pieces is None or any(around(x) for x in path) or tuple(path) in links:
             continue
         if any(tuple(path[: len(r)]) == r for r in regions):
             text = " ".join(references.unescape("".join(p for p, _ in pieces)).split())
@@ -365,13 +387,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     read = rows.join(sized_broadcast(rules), "host", "left").select("page_id", "url", "html", "regions")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[tuple[str, ...]]] = {}
+        known: dict[str, tuple[list[Path], list[Path]]] = {}
         for batch in batches:
             out = []
             for page, rule in zip(batch.column(2), batch.column(3).to_pylist()):
                 page = page.as_py()
                 if rule not in known:
-                    known[rule] = [tuple(r) for r in json.loads(rule or "[]")]
+                    known[rule] = tuple([tuple(x) for x in part] for part in json.loads(rule or "[[], []]"))
                 text = text_of(page, known[rule])
                 out.append(text or text_of(page, main_regions(of_page(page))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
