@@ -52,13 +52,22 @@ def md5_int(value: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
+def cells_text(*parts: str | Column) -> Column:
+    """The parts as one text that no other list of as many parts gives: ``length:text`` or ``-`` for null."""
+    texts = [col(p).cast("string") for p in parts]
+    return F.concat_ws("|", *[
+        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts
+    ])
+
+
 def md5_long(*parts: str | Column) -> Column:
-    """60-bit non-negative integer from the MD5 of the parts joined with ':'.
+    """60-bit non-negative integer from the MD5 of the parts.
 
     A function of the values only, so samples and splits built on it do not change
-    with partitioning or retries.
+    with partitioning or retries. Parts are written with their lengths and null as a
+    mark of its own, so different lists of parts give different texts.
     """
-    text = F.concat_ws(":", *[col(p).cast("string") for p in parts])
+    text = cells_text(*parts)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 

@@ -298,11 +298,8 @@ def group_percentiles(
         return df.groupBy(*keys).agg(
             *[F.percentile(value, p).alias(n) for n, p in probs.items()]
         )
-    freq = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
+    # a null value counts zero times but keeps its group
+    freq = df.groupBy(*keys, value).agg(F.count(value).alias("_c"))
     ranked = with_running_sum(freq, keys, [F.col(value)], {"_hi": "_c"}, True, totals={"_n": "_hi"})
     aggs = []
     for i, p in enumerate(probs.values()):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from loomline.operators.groups import (
 # Fixed values.
 MIN_USERS_PER_ITEM = 3
 MIN_ITEMS_PER_USER = 3
-MAX_PASSES = 5
 HOLDOUT_FRACTION = 0.20
 MIN_HOLDOUT_SIZE = 3
 MAX_INT = 2**31 - 1
@@ -48,16 +48,18 @@ def partner_counts(df: DataFrame, key: str, partner: str) -> DataFrame:
 def k_core(
     df: DataFrame, user: str = "user_id", item: str = "item_id",
     min_users: int = MIN_USERS_PER_ITEM, min_items: int = MIN_ITEMS_PER_USER,
-    max_passes: int = MAX_PASSES,
+    max_passes: int | None = None,
 ) -> DataFrame:
     """Drop items with few users, then users with few items, until nothing changes.
 
+    ``max_passes`` ends earlier: the result may then hold keys below the minimum.
+
     Each pass removes the keys below the minimum by anti-join: those keys have few
     rows by definition, so the removed side is never hot.
     """
     current = checkpointed(df)
     before = current.count()
-    for _ in range(max_passes):
+    for _ in count() if max_passes is None else range(max_passes):
         weak_items = partner_counts(current, item, user).where(F.col("n_partners") < min_users)
         step = lookup_join(current, weak_items.select(item), [item], "left_anti")
         weak_users = partner_counts(step, user, item).where(F.col("n_partners") < min_items)

@@ -73,9 +73,15 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def _score_steps(df: DataFrame, keys: Sequence[str], label: str, score: str, descending: bool) -> DataFrame:
-    """Positives and negatives per distinct score with their running totals."""
-    counts = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*keys, score).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")
+    """Positives and negatives per distinct score with their running totals.
+
+    The larger label is the positive one; of a single label, 1 is.
+    """
+    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    ends = rows.agg(F.min(label).alias("_low"), F.max(label).alias("_top"))  # one row
+    positive = (F.col(label) == F.col("_top")) & ((F.col("_top") != F.col("_low")) | (F.col(label) == 1))
+    counts = rows.crossJoin(F.broadcast(ends)).groupBy(*keys, score).agg(
+        F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg")
     )
     order = F.desc(score) if descending else F.asc(score)
     return with_running_sum(counts, keys, [order], {"_cum_pos": "_pos", "_cum_neg": "_neg"})

@@ -118,13 +118,14 @@ def gap_aggs(with_quantiles: bool = True) -> list[Column]:
 
 
 def referrer_aggs(vocabulary: Sequence[str] = REFERRERS) -> list[Column]:
-    return [F.count_if(F.col("referrer") == r).alias(f"ref_{r}") for r in vocabulary]
+    counts = [F.count_if(F.col("referrer") == r).alias(f"ref_{r}") for r in vocabulary]
+    return [*counts, F.count("referrer").alias("_n_ref")]
 
 
 def with_referrer_ratios(df: DataFrame, vocabulary: Sequence[str] = REFERRERS) -> DataFrame:
-    total = sum((F.col(f"ref_{r}") for r in vocabulary), F.lit(0))
-    total = F.when(total == 0, F.lit(1)).otherwise(total)
-    return df.withColumns({f"ref_{r}_ratio": F.col(f"ref_{r}") / total for r in vocabulary})
+    """Shares among all events with a referrer, those outside the vocabulary included."""
+    total = F.greatest(F.col("_n_ref"), F.lit(1))
+    return df.withColumns({f"ref_{r}_ratio": F.col(f"ref_{r}") / total for r in vocabulary}).drop("_n_ref")
 
 
 def referrer_sequence_aggs() -> list[Column]:

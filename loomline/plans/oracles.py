@@ -14,7 +14,8 @@ ev AS (
               WHEN 'signup' THEN 'add_to_cart' WHEN 'error' THEN 'checkout'
               WHEN 'purchase' THEN 'conversion' END AS event_type,
          CASE k % 7 WHEN 0 THEN 'google' WHEN 1 THEN 'direct' WHEN 2 THEN 'facebook'
-              WHEN 3 THEN 'email' WHEN 4 THEN 'affiliate' WHEN 5 THEN 'organic' END AS referrer,
+              WHEN 3 THEN 'email' WHEN 4 THEN 'affiliate' WHEN 5 THEN 'organic'
+              ELSE CASE WHEN event_id % 2 = 0 THEN 'bing' END END AS referrer,
          value, user_id AS true_user_id
   FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
 ),
@@ -79,12 +80,12 @@ _REFS = ["google", "direct", "facebook", "email", "affiliate", "organic"]
 REFERRER_COUNTS = """
 ref_counts AS (
   SELECT session_id, """ + ", ".join(
-    f"count(*) FILTER (WHERE referrer = '{r}') AS ref_{r}" for r in _REFS) + """
+    f"count(*) FILTER (WHERE referrer = '{r}') AS ref_{r}" for r in _REFS) + """, count(referrer) AS n_ref
   FROM pre GROUP BY session_id
 ),
 refs AS (
-  SELECT *, """ + ", ".join(
-    f"ref_{r} / CAST(greatest({' + '.join('ref_' + x for x in _REFS)}, 1) AS DOUBLE) AS ref_{r}_ratio"
+  SELECT * EXCLUDE (n_ref), """ + ", ".join(
+    f"ref_{r} / CAST(greatest(n_ref, 1) AS DOUBLE) AS ref_{r}_ratio"
     for r in _REFS) + """
   FROM ref_counts
 )"""
@@ -130,7 +131,7 @@ RATE_DIGITS = 4
 
 def rnd(expr: str, digits: int = 6) -> str:
     """The rounding arithmetic of ``queries.rnd``."""
-    return f"(floor(({expr}) * 1e{digits} + 0.8141) / 1e{digits})"
+    return f"(floor(({expr}) * 1e{digits} + 0.5001) / 1e{digits})"
 
 
 def rounded(columns: dict[str, int | None], source: str, ctes: list[str]) -> str:
@@ -198,8 +199,13 @@ SQL["session_features"] = rounded(
 
 # --- pairs ---------------------------------------------------------------------------------
 
+def cells_text(*parts: str) -> str:
+    cells = [f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '-')" for p in parts]
+    return f"concat_ws('|', {', '.join(cells)})"
+
+
 def md5_long(*parts: str) -> str:
-    return f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 15) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({cells_text(*parts)}), 1, 15) AS BIGINT)"
 
 
 def draw(purpose: str) -> str:
@@ -267,15 +273,10 @@ SQL["linkage_sampled_pairs"] = ("WITH " + EV + "," + POSITIVES + "," + negatives
 SQL["linkage_hard_negatives"] = ("WITH " + EV + "," + negatives("ev", "event_id", "true_user_id", 8, "ip_bucket")
                                  + ",\nchosen AS (SELECT * FROM neg)" + LINKAGE_SELECT)
 SQL["linkage_window_candidates"] = "WITH " + EV + """,
-linked AS (
-  SELECT lag(event_id) OVER w AS a_event_id, event_id AS b_event_id,
-         epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w) AS gap,
-         lag(session_id) OVER w AS a_session_id, session_id
-  FROM ev WHERE ip_bucket IS NOT NULL
-  WINDOW w AS (PARTITION BY ip_bucket ORDER BY timestamp, event_id)),
 chosen AS (
-  SELECT a_event_id, b_event_id, 0 AS pair_id, 0 AS target FROM linked
-  WHERE a_event_id IS NOT NULL AND gap <= 21600000000 AND a_session_id <> session_id)
+  SELECT x.event_id AS a_event_id, y.event_id AS b_event_id, 0 AS pair_id, 0 AS target
+  FROM ev x JOIN ev y ON x.ip_bucket = y.ip_bucket AND x.event_id < y.event_id AND x.session_id <> y.session_id
+  WHERE abs(epoch_us(x.timestamp) - epoch_us(y.timestamp)) <= 21600000000)
 SELECT * EXCLUDE (pair_id, target) FROM (""" + LINKAGE_SELECT + ")"
 
 OFFERS = """
@@ -385,7 +386,8 @@ c{i} AS (SELECT * FROM i{i} WHERE user_id IN (
     return out
 
 
-SQL["interactions_kcore"] = "WITH " + INTERACTIONS + ",\n" + _kcore(5, 28, 36) + "\nSELECT * FROM c5"
+SQL["interactions_kcore"] = "WITH " + INTERACTIONS + ",\n" + _kcore(12, 19, 26) + """
+SELECT * FROM c12 WHERE (SELECT count(*) FROM c12) = (SELECT count(*) FROM c11)"""
 SQL["dense_ids"] = """
 SELECT o_custkey AS user_id, CAST(row_number() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS user_idx
 FROM (SELECT DISTINCT o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -510,12 +512,12 @@ engineered AS (
   FROM ratios)"""
 SQL["numeric_features"] = "WITH" + HOUSE + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       floor(COLUMNS(* EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey)) * 1e5 + 0.8141) / 1e5
+       floor(COLUMNS(* EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey)) * 1e5 + 0.5001) / 1e5
 FROM engineered"""
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 SQL["train_test_split"] = f"""
-SELECT {_LINE}, {md5_long("'42'", _LINE)} % 1000000 < 200000 AS is_test FROM lineitem"""
+SELECT {_LINE}, {md5_long("'42'", *_LINE.split(", "))} % 1000000 < 200000 AS is_test FROM lineitem"""
 SQL["stratified_sample"] = f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {md5_long("'42'", 'o_orderkey')}, o_orderkey) AS r FROM orders)
@@ -538,13 +540,14 @@ SELECT count(*) AS n_rows, 11 AS n_cols, {rnd('min(l_discount)')} AS target_min,
        {rnd('avg(l_discount)')} AS target_mean,
        {rnd('avg(CASE WHEN l_discount > 0 THEN 1.0 ELSE 0.0 END)')} AS positive_fraction
 FROM lineitem"""
-_CELLS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in sorted(
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-    "l_returnflag l_linestatus l_shipdate".split()))
+_LINE_TYPES = dict(sorted({
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+    "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+    "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}.items()))
 SQL["dataset_fingerprint"] = f"""
-SELECT n_rows, 11 AS n_cols, sha256(n_rows || ':' || s || ':' || x) AS dataset_sha256
+SELECT n_rows, 11 AS n_cols, sha256(n_rows || ':' || s || ':' || x || ':{",".join(f"{c} {t}" for c, t in _LINE_TYPES.items())}') AS dataset_sha256
 FROM (SELECT count(*) AS n_rows, sum(h) AS s, bit_xor(h) AS x
-      FROM (SELECT {md5_long(f"concat_ws('|', {_CELLS})")} AS h FROM lineitem))"""
+      FROM (SELECT {md5_long(*_LINE_TYPES)} AS h FROM lineitem))"""
 SQL["unseen_category"] = """
 SELECT p_partkey, coalesce(code, -1) AS code,
        (SELECT string_agg(CASE WHEN t.p_type = part.p_type THEN '1' ELSE '0' END, '' ORDER BY t.p_type)
@@ -564,7 +567,7 @@ shares AS (
 SELECT {rnd('sum((q - p) * ln(q / p))')} AS psi, {rnd('sum(q * ln(q / p))')} AS kl, count(*) AS n_values FROM shares"""
 SQL["boundary_checks"] = "WITH" + EV + """
 SELECT unnest(['known_referrer', 'has_ip', 'positive_value', 'known_type']) AS rule, unnest([a, b, c, d]) AS n_bad, n AS n_rows
-FROM (SELECT count(*) FILTER (WHERE referrer IS NULL) AS a, count(*) FILTER (WHERE ip_bucket IS NULL) AS b,
+FROM (SELECT count(*) FILTER (WHERE referrer IS NULL OR referrer = 'bing') AS a, count(*) FILTER (WHERE ip_bucket IS NULL) AS b,
              count(*) FILTER (WHERE value IS NULL OR value <= 0) AS c, count(*) FILTER (WHERE event_type IS NULL) AS d,
              count(*) AS n FROM ev)"""
 SQL["price_zscore"] = "WITH" + OFFERS + f"""
@@ -644,10 +647,9 @@ SQL["residuals"] = "WITH" + PRICED + f"""
 SELECT {_LINE}, {rnd('y - p', 4)} AS residual, {rnd('abs(y - p)', 4)} AS abs_residual FROM priced"""
 SQL["residual_summary"] = "WITH" + PRICED + f"""
 SELECT {rnd('avg(abs(y - p))', 4)} AS mean_abs_residual, count(*) FILTER (WHERE y = p) AS n_match, count(*) AS n FROM priced"""
-SQL["single_feature_auc"] = "WITH " + ",".join(ALL_SESSION_CTES) + f""",
+SQL["single_feature_auc"] = f"""WITH published AS ({SQL["session_features"]}),
 long AS (UNPIVOT (
-    SELECT target, CAST(COLUMNS(['n_page_views', 'n_clicks', 'n_pre_events', 'n_referrers', 'ip_bucket_freq', 'hour_of_day',
-      'n_rapid_events', 'click_after_pageview', 'pageview_after_click', 'device_bucket_16']) AS DOUBLE) FROM session_table)
+    SELECT target, CAST(COLUMNS(* EXCLUDE (session_id, target)) AS DOUBLE) FROM published)
   ON COLUMNS(* EXCLUDE (target)) INTO NAME feature VALUE v),
 ranked AS (
   SELECT feature, target, rank() OVER (PARTITION BY feature ORDER BY v)
@@ -673,4 +675,4 @@ FROM ev GROUP BY session_id"""
 SQL["saved_model_parity"] = f"""
 SELECT count(DISTINCT ({_LINE}, l_extendedprice, l_quantity)) AS n_matched, 0.0::DOUBLE AS max_abs_diff, true AS all_close,
        unnest(['reloaded', 'refitted']) AS model
-FROM lineitem WHERE {md5_long("'42'", _LINE)} % 1000000 < 200000"""
+FROM lineitem WHERE {md5_long("'42'", *_LINE.split(", "))} % 1000000 < 200000"""

@@ -39,7 +39,8 @@ def clickstream_from(events: DataFrame) -> DataFrame:
     ev = events.withColumn("k", k)
     event_type = F.coalesce(*[F.when(F.col("event_type") == a, b) for a, b in EVENT_TYPE_MAP.items()])
     days = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    referrer = F.coalesce(*[F.when(F.col("k") % 7 == i, r) for i, r in enumerate(REFERRERS)])
+    known = [F.when(F.col("k") % 7 == i, r) for i, r in enumerate(REFERRERS)]
+    referrer = F.coalesce(*known, F.when(F.col("event_id") % 2 == 0, "bing"))  # one outside the vocabulary, some null
     return ev.select(
         "event_id",
         F.col("ts").alias("timestamp"),

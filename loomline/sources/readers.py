@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.operators.asof import FeatureView
+from loomline.operators.groups import with_position
 
 # Fixed values.
 DATA_SUFFIXES = [".csv", ".parquet"]
@@ -110,13 +111,17 @@ def read_observed_and_truth(spark: SparkSession, folder: str) -> tuple[DataFrame
 
 def query_inputs(spark: SparkSession, queries: str | Sequence[str] | DataFrame) -> DataFrame:
     """Search input as (query_id, query_text): one text, a list of texts, or a frame with
-    column ``query`` or ``text`` (and its own ``query_id``, or else one is made from the text)."""
+    column ``query`` or ``text`` (and its own ``query_id``, or else the rows are numbered by
+    text: equal texts keep a query each)."""
     if isinstance(queries, DataFrame):
         for c in ("query", "text"):
             if c in queries.columns:
                 text = F.col(c).cast("string")
-                key = F.col("query_id") if "query_id" in queries.columns else F.xxhash64(text)
-                return queries.select(key.alias("query_id"), text.alias("query_text"))
+                if "query_id" in queries.columns:
+                    return queries.select("query_id", text.alias("query_text"))
+                return with_position(
+                    queries.select(text.alias("query_text")), [], [F.col("query_text")], "query_id"
+                ).select("query_id", "query_text")
         raise ValueError("queries need a column named query or text")
     texts = [queries] if isinstance(queries, str) else list(queries)
     return spark.createDataFrame(list(enumerate(texts)), "query_id bigint, query_text string")

@@ -83,6 +83,12 @@ def test_percentiles(frame, rows, grouping):
             assert got[key] == pytest.approx(tuple(np.percentile(values, [25, 90])))
 
 
+def test_percentiles_of_a_group_of_nulls(spark, grouping):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", None)], "key string, v double")
+    got = {r["key"]: r["m"] for r in G.group_percentiles(df, ["key"], "v", {"m": 0.5}).collect()}
+    assert got == {"a": None, "b": 1.0}
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join(spark, frame, rows, grouping, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4)], "key string, d int")

@@ -37,6 +37,14 @@ def test_auc_by_group_and_single_class(spark, scored, grouping):
     assert both["metric"] == "validation_auc"
 
 
+@pytest.mark.parametrize("labels", [(0, 1), (1, 2), (-1, 1), (3, 7)])
+def test_auc_takes_the_larger_label_as_positive(spark, labels):
+    low, top = labels
+    df = spark.createDataFrame([(low, 0.1), (low, 0.2), (top, 0.8), (top, 0.9), (None, 0.5)], "y int, s double")
+    row = metrics.roc_auc(df, "y", "s").first()
+    assert (row["auc"], row["n_pos"], row["n_neg"]) == (1.0, 2, 2)
+
+
 def test_curve_and_sweep(scored, grouping):
     rows = scored.collect()
     n_pos = sum(r["y"] for r in rows)

@@ -34,6 +34,16 @@ def brute_core(pairs, a, b, passes):
     return pairs
 
 
+def test_k_core_runs_to_its_end(spark):
+    """A chain that loses one user at each end per pass, far more often than five times."""
+    pairs = [(u, i) for u in range(40) for i in (u, u + 1)]
+    df = spark.createDataFrame(pairs, "user_id int, item_id int")
+    assert I.k_core(df, min_users=2, min_items=2).count() == 0
+    ring = [(u, i % 12) for u in range(12) for i in (u, u + 1)] + [(100 + u, i) for u in range(9) for i in (100 + u, 101 + u)]
+    core = I.k_core(spark.createDataFrame(ring, "user_id int, item_id int"), min_users=2, min_items=2)
+    assert core.count() == 24
+
+
 @pytest.mark.parametrize("passes", [1, 2, 5])
 def test_k_core_needs_several_passes(spark, grouping, passes):
     rng = random.Random(3)

@@ -28,6 +28,12 @@ def events(spark):
     ], SCHEMA)
 
 
+def test_referrer_ratios_count_every_referrer(spark):
+    rows = [event(1, 1, 0, "click", "google")] + [event(i, 1, i, "click", "bing") for i in (2, 3, 4)] + [event(5, 1, 9, "click")]
+    got = sessions.session_features(spark.createDataFrame(rows, SCHEMA)).first()
+    assert got["ref_google_ratio"] == 0.25 and got["ref_email_ratio"] == 0.0
+
+
 def test_features_of_a_session(events, grouping):
     rows = {r["session_id"]: r.asDict() for r in sessions.session_features(events).collect()}
     assert set(rows) == {1, 2, 4}  # session 3 has no pre-decision event
