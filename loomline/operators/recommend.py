@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +20,9 @@ from loomline.operators.groups import (
     with_position,
 )
 
+# Users or items in a block of factors, and cells of a block's scores that are held at once.
+BLOCK_ROWS = 4096
+TILE_CELLS = 1 << 22
 # Fixed values.
 ALS_DEFAULTS = {"als_factors": 32, "als_iterations": 10, "als_regularization": 0.01, "als_alpha": 20.0}
 
@@ -33,40 +40,84 @@ def fit_als(train: DataFrame, params: dict | None = None, seed: int = 42) -> ALS
     return als.fit(train.where("weight <> 0"))
 
 
-def _long_form(recs: DataFrame) -> DataFrame:
-    """(user_idx, recommendations) arrays to one row per recommended item."""
-    rows = recs.select("user_idx", F.posexplode("recommendations").alias("_p", "_r"))
-    return rows.select(
-        "user_idx", F.col("_r.item_idx").alias("item_idx"), F.col("_r.rating").alias("score")
-    )
+def _best_in_block(
+    x: np.ndarray, ids: np.ndarray, y: np.ndarray, hidden: list[np.ndarray], k: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per user the ``k`` best (item, score) of one block of items sorted by id; ties by item."""
+    out = []
+    step = max(1, TILE_CELLS // max(len(y), 1))
+    for lo in range(0, len(x), step):
+        scores = x[lo : lo + step] @ y.T
+        for i, row in enumerate(scores):
+            row[hidden[lo + i]] = -np.inf
+            live = np.arange(len(row))
+            if len(row) > k:
+                live = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
+            live = live[np.isfinite(row[live])]
+            best = live[np.lexsort((ids[live], -row[live]))[:k]]
+            out.append((ids[best], row[best]))
+    return out
+
+
+def _score_block(asked: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFrame:
+    users = asked[asked["features"].notna()].sort_values("user_idx")
+    if users.empty or found.empty:
+        return pd.DataFrame({"user_idx": [], "item_idx": [], "score": []})
+    found = found.sort_values("item_idx")
+    who, ids = users["user_idx"].to_numpy(), found["item_idx"].to_numpy()
+    seen = asked[asked["features"].isna()]
+    row = np.searchsorted(who, seen["user_idx"].to_numpy())
+    col = np.searchsorted(ids, seen["item_idx"].to_numpy())
+    fits = (row < len(who)) & (col < len(ids))
+    row, col = row[fits], col[fits]
+    fits = (who[row] == seen["user_idx"].to_numpy()[fits]) & (ids[col] == seen["item_idx"].to_numpy()[fits])
+    row, col = row[fits], col[fits]
+    order = np.argsort(row, kind="stable")
+    cuts = np.searchsorted(row[order], np.arange(1, len(who)))
+    hidden = np.split(col[order], cuts)
+    matrix = lambda v: np.stack([np.asarray(f, dtype=np.float32) for f in v])
+    best = _best_in_block(matrix(users["features"]), ids, matrix(found["features"]), hidden, k)
+    return pd.DataFrame({
+        "user_idx": np.repeat(who, [len(i) for i, _ in best]),
+        "item_idx": np.concatenate([i for i, _ in best]), "score": np.concatenate([v for _, v in best]),
+    })
 
 
 def recommend(
-    model: ALSModel, users: DataFrame, k: int, seen: DataFrame | None = None,
+    model: ALSModel, users: DataFrame, k: int, seen: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Top ``k`` items per user as (user_idx, item_idx, score, rank), ties by item.
 
-    With ``seen`` (user_idx, item_idx) those items are excluded exactly: users are
-    grouped by the power of two above ``k`` + their number of seen items, each
-    group asks the model for that many items, and seen ones are anti-joined away.
+    User and item factors are cut into blocks, and each pair of blocks is scored by one
+    matrix product that keeps ``k`` items per user. With ``seen`` (user_idx, item_idx)
+    those items are masked inside the product, so memory stays ``k`` rows per user and
+    block, however many items a user has seen. Users without factors get no rows.
     """
-    if seen is None:
-        scored = _long_form(model.recommendForUserSubset(users.select("user_idx").distinct(), k))
-    else:
-        sizes = seen.groupBy("user_idx").agg(F.count_distinct("item_idx").alias("_seen"))
-        asked = users.select("user_idx").distinct().join(sizes, "user_idx", "left")
-        depth = F.ceil(F.log2(F.coalesce(F.col("_seen"), F.lit(0)) + F.lit(k))).cast("int")
-        asked = checkpointed(asked.select("user_idx", depth.alias("_depth")))
-        # one value per power of two, so at most 32
-        depths = [r[0] for r in asked.select("_depth").distinct().collect()]
-        scored = None
-        for d in sorted(depths):
-            part = asked.where(F.col("_depth") == d).select("user_idx")
-            recs = _long_form(model.recommendForUserSubset(part, 2**d))
-            scored = recs if scored is None else scored.unionByName(recs)
-        if scored is None:
-            raise ValueError("no users to recommend for")
-        scored = scored.join(seen.select("user_idx", "item_idx").distinct(), ["user_idx", "item_idx"], "left_anti")
+    wanted = checkpointed(users.select("user_idx").distinct())
+    factors = lambda df, name: df.select(F.col("id").alias(name), "features")
+    mine = checkpointed(lookup_join(factors(model.userFactors, "user_idx"), wanted, ["user_idx"], "left_semi"))
+    items = checkpointed(factors(model.itemFactors, "item_idx"))
+    u_blocks, i_blocks = (max(1, math.ceil(df.count() / block_rows)) for df in (mine, items))
+
+    def block(column: str, n: int):
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    asked = mine.select(
+        block("user_idx", u_blocks).alias("_ub"), "user_idx", F.lit(None).cast("int").alias("item_idx"), "features"
+    ).withColumn("_ib", every(i_blocks))
+    if seen is not None:
+        known = lookup_join(seen.select("user_idx", "item_idx").distinct(), wanted, ["user_idx"], "left_semi")
+        asked = asked.unionByName(known.select(
+            block("user_idx", u_blocks).alias("_ub"), block("item_idx", i_blocks).alias("_ib"), "user_idx", "item_idx",
+            F.lit(None).cast(mine.schema["features"].dataType).alias("features"),
+        ))
+    found = items.select(block("item_idx", i_blocks).alias("_ib"), "item_idx", "features").withColumn("_ub", every(u_blocks))
+    scored = asked.groupBy("_ub", "_ib").cogroup(found.groupBy("_ub", "_ib")).applyInPandas(
+        lambda a, b: _score_block(a, b, k), "user_idx int, item_idx int, score float"
+    )
     return top_k(scored, ["user_idx"], [F.desc("score"), F.col("item_idx")], k)
 
 
