@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import FeatureHasher
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,11 +90,18 @@ def with_rare_grouped(df: DataFrame, column: str, min_count: int, other: str = "
 
 
 def hashed_features(df: DataFrame, columns: Sequence[str], dim: int) -> DataFrame:
-    """Hash (column, value) pairs into ``dim`` positions; adds ``hashed`` and the filled ``positions``."""
-    hasher = FeatureHasher(inputCols=list(columns), outputCol="hashed", numFeatures=dim, categoricalCols=list(columns))
-    out = hasher.transform(df)
-    filled = F.transform(vector_to_array("hashed"), lambda x, i: F.when(x != 0, i))
-    return out.withColumn("positions", F.filter(filled, lambda i: i.isNotNull()))
+    """Hash (column, value) pairs into ``dim`` positions; adds the sparse vector ``hashed`` (counts)
+    and the filled ``positions`` in order. A null value has no position."""
+    spots = F.array(*[F.when(F.col(c).isNotNull(), S.md5_long(F.lit(c), c) % F.lit(dim)) for c in columns])
+    spots = F.array_sort(F.filter(spots, lambda x: x.isNotNull()))
+    counts = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.size(F.filter(F.col("_spots"), lambda x: x == i)).cast("double"),
+    )
+    out = df.withColumn("_spots", spots).withColumns({
+        "hashed": array_to_vector(counts), "positions": F.array_distinct("_spots"),
+    })
+    return out.drop("_spots")
 
 
 # --- drift and boundaries ------------------------------------------------------------------

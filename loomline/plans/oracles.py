@@ -478,7 +478,7 @@ house AS (
          l_tax * 100.0 + 1.0 AS AveRooms, l_discount * 10.0 + 0.5 AS AveBedrms,
          l_quantity * 30.0 + l_linenumber AS Population, l_discount * 20.0 + 1.0 AS AveOccup,
          32.5::DOUBLE + (l_partkey % 1000) / 100.0::DOUBLE AS Latitude, -124.0::DOUBLE + (l_suppkey % 1000) / 100.0::DOUBLE AS Longitude,
-         l_extendedprice / 100000.0 AS target
+         l_quantity * (1.0::DOUBLE - l_discount) / 10.0 + l_extendedprice / 1000000.0 AS target
   FROM lineitem),
 ratios AS (
   SELECT *, AveRooms / (AveOccup + 1e-6) AS rooms_per_household, AveBedrms / (AveRooms + 1e-6) AS bedrooms_per_room,
@@ -676,3 +676,55 @@ SQL["saved_model_parity"] = f"""
 SELECT count(DISTINCT ({_LINE}, l_extendedprice, l_quantity)) AS n_matched, 0.0::DOUBLE AS max_abs_diff, true AS all_close,
        unnest(['reloaded', 'refitted']) AS model
 FROM lineitem WHERE {md5_long("'42'", *_LINE.split(", "))} % 1000000 < 200000"""
+
+# --- facts about fitted results that any right model has -----------------------------------
+
+def held_out(*key: str) -> str:
+    return f"{md5_long("'42'", *key)} % 1000000 < 200000"
+
+
+SQL["knn_approx"] = """
+SELECT vec_id AS query_id, 10::BIGINT AS n_hits, true AS ranks_dense, true AS distances_true, true AS recall_reached
+FROM embeddings WHERE vec_id % 50 = 0"""
+SQL["hashing_embed_search"] = """
+SELECT item_id AS query_id, 5::BIGINT AS n_hits, true AS ranks_dense, true AS distances_true FROM benchmark"""
+SQL["text_search"] = """
+SELECT doc_id AS query_id, 5::BIGINT AS n_hits, true AS found_itself FROM documents WHERE doc_id % 50 = 0"""
+SQL["geo_clusters"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, true AS nearest, true AS distance_true FROM lineitem"""
+_PLACES = [f"{md5_long(f"'{c}'", c)} % 64" for c in ("p_brand", "p_type", "p_name")]
+SQL["feature_hashing"] = f"""
+SELECT p_partkey, array_to_string(list_sort(list_distinct([{", ".join(_PLACES)}])), ',') AS positions FROM part"""
+SQL["fit_score_boosted"] = f"""
+WITH published AS ({SQL["session_features"]})
+SELECT session_id, target, true AS is_probability, true AS at_threshold FROM published WHERE {held_out("session_id")}"""
+_GRADED = f"""
+FROM labels JOIN documents USING (doc_id) WHERE {held_out("doc_id")}"""
+_SIZE = "CASE WHEN n_chars < 500 THEN 0 WHEN n_chars < 2000 THEN 1 ELSE 2 END"
+SQL["fit_score_forest"] = "SELECT doc_id, quality AS target, true AS is_probability, true AS learned" + _GRADED
+SQL["fit_score_multiclass"] = f"SELECT doc_id, {_SIZE} AS target, true AS learned" + _GRADED
+SQL["fit_score_perceptron"] = SQL["fit_score_multiclass"]
+SQL["fit_score_regressor"] = "WITH" + HOUSE.split(",\nratios AS")[0] + f"""
+SELECT {_LINE}, {rnd("target")} AS target, true AS residual_true, true AS learned FROM house WHERE {held_out(*_LINE.split(", "))}"""
+SQL["linkage_model"] = """
+SELECT 'validation_auc' AS metric, true AS passed, 2 * (count(*) // 2) AS n_scored, true AS is_probability FROM events"""
+SQL["matcher_model"] = "WITH" + OFFERS + """
+SELECT 'validation_auc' AS metric, true AS passed, 2 * (count(*) // 4) AS n_scored, true AS is_probability FROM offers"""
+SQL["asof_forest"] = "WITH" + EV + f"""
+SELECT c.event_id,
+       CAST(coalesce((epoch_us(c.timestamp) - epoch_us(max(v.timestamp))) / 1e6 <= 172800.0, false) AS INTEGER) AS target,
+       true AS is_probability, true AS learned
+FROM (SELECT * FROM ev WHERE event_type = 'conversion' AND {held_out("event_id")}) c
+LEFT JOIN ev v ON v.event_type = 'page_view' AND v.true_user_id = c.true_user_id AND v.timestamp <= c.timestamp
+GROUP BY c.event_id, c.timestamp"""
+SQL["permutation_importance"] = """
+SELECT unnest(['score', 'n_chars']) AS feature, 10::BIGINT AS repeats, unnest([true, false]) AS matters"""
+_CORE = "WITH " + INTERACTIONS + ",\n" + _kcore(8, 3, 3)
+SQL["als_recommendations"] = _CORE + """
+SELECT DISTINCT user_id, 10::BIGINT AS n_items, true AS in_order, true AS all_unseen FROM c8"""
+SQL["als_metrics"] = _CORE + """
+SELECT count(*) AS n_entities_evaluated, true AS all_shares FROM (SELECT user_id FROM c8 GROUP BY user_id HAVING count(*) >= 3)"""
+SQL["recommendation_lists"] = _CORE + """
+SELECT c_custkey AS entity_id, CASE WHEN c_custkey IN (SELECT user_id FROM c8) THEN 10 ELSE 0 END AS n_items FROM customer"""
+SQL["retrieve_then_rank"] = "WITH" + OFFERS + """
+SELECT DISTINCT true_canonical_id AS query_id, 5::BIGINT AS n_hits, true AS ranks_dense, true AS distances_true, true AS is_probability FROM offers"""

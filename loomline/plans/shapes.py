@@ -111,7 +111,7 @@ def housing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_discount") * 20.0 + 1.0).alias("AveOccup"),
         (F.lit(32.5) + (F.col("l_partkey") % 1000) / 100.0).alias("Latitude"),
         (F.lit(-124.0) + (F.col("l_suppkey") % 1000) / 100.0).alias("Longitude"),
-        (F.col("l_extendedprice") / 100000.0).alias("target"),
+        (F.col("l_quantity") * (1.0 - F.col("l_discount")) / 10.0 + F.col("l_extendedprice") / 1000000.0).alias("target"),
     )
 
 

@@ -68,7 +68,10 @@ def query_result(
                 raise ValueError("as_of needs the name of the ingest time column")
             df = df.where(F.col(ingested_at) <= F.lit(as_of).cast(df.schema[ingested_at].dataType))
         df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    result = spark.sql(sql)
+    for name in sources or {}:  # the analysed query holds them already
+        spark.catalog.dropTempView(name)
+    return result
 
 
 def read_warehouse(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
