@@ -266,5 +266,5 @@ def leaks(docs: DataFrame, items: DataFrame, limit: float = LIMIT) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without a leaked item; the columns stay as they are."""
-    gone = leaks(docs, items).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = checkpointed(leaks(docs, items).select("doc_id").distinct())
+    return docs.join(sized_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)

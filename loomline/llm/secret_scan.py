@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.text import checkpointed, small_partitions
+from loomline.llm.text import checkpointed, sized_broadcast, small_partitions
 
 TRAINING_ROWS = 10_000
 DICTIONARY_WORDS = 20_000
@@ -89,13 +89,26 @@ def findings(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """``(entry, n)``: the commonest words of three letters or more, counted over all documents."""
+    """``(entry, n)``: the commonest words of three letters or more, counted over all documents.
+
+    Equally common words are taken together, or left out where they don't all fit.
+    """
     every = small_partitions(docs.select("text")).select(
         F.explode(F.split(F.lower(F.col("text").cast("string")), _SPACES)).alias("w")
     )
     entry = F.rtrim(F.col("w"), F.lit(".,;:!?"))
     counted = every.select(entry.alias("entry")).where(F.length("entry").between(3, 24)).groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
-    return checkpointed(counted.where(F.col("entry").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "entry").limit(words))
+    counted = checkpointed(counted.where(F.col("entry").rlike(r"^\p{L}+$")))
+    # the count that at most ``words`` entries reach, from how many entries have each count
+    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("entries"))
+    best = sizes.orderBy(F.desc("n")).limit(words).collect()
+    least, reached = 1 << 62, 0
+    for r in best:
+        reached += r.entries
+        if reached > words:
+            break
+        least = r.n
+    return checkpointed(counted.where(F.col("n") >= F.lit(least)))
 
 
 def _pairs(text: Column) -> Column:
@@ -164,17 +177,18 @@ def marked_by_format(found: DataFrame) -> DataFrame:
 
 @dataclass
 class Scanner:
-    """Dictionary, pair scores and forest (``None``: every finding is reported)."""
+    """Dictionary, pair scores and forest; without a forest every finding scores ``otherwise``."""
 
     entries: DataFrame
     scores: dict[str, float]
     forest: RandomForestClassificationModel | None
+    otherwise: float = 1.0
 
     def judged(self, found: DataFrame) -> DataFrame:
         """``found`` with its features and ``score``, the forest's probability of a secret."""
         x = with_features(found, self.entries, self.scores)
         if self.forest is None:
-            return x.withColumn("score", F.lit(1.0))
+            return x.withColumn("score", F.lit(self.otherwise))
         return self.forest.transform(_assembled(x)).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
 
 
@@ -183,13 +197,17 @@ def _assembled(x: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, entries: DataFrame, rows: int = TRAINING_ROWS) -> Scanner:
-    """Scanner from findings with ``label`` (0.0 or 1.0); each label teaches by at most ``rows`` of them."""
+    """Scanner from findings with ``label`` (0.0 or 1.0); each label teaches by at most ``rows`` of them.
+
+    Where only one label occurs, it is every finding's; without any, all are reported.
+    """
     scores = pair_scores(entries)
     order = F.xxhash64("doc_id", "position", "value")
     sample = [labelled.where(F.col("label") == y).orderBy(order).limit(rows) for y in (0.0, 1.0)]
     sample = checkpointed(sample[0].unionByName(sample[1]))
-    if sample.select("label").distinct().count() < 2:
-        return Scanner(entries, scores, None)
+    known = [r.label for r in sample.select("label").distinct().collect()]
+    if len(known) < 2:
+        return Scanner(entries, scores, None, known[0] if known else 1.0)
     x = checkpointed(with_features(sample, entries, scores).select("label", *FEATURES))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=2, seed=17, featuresCol="features")
     return Scanner(entries, scores, forest.fit(_assembled(x)))
@@ -214,5 +232,5 @@ def mask_secrets(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     hits = hits.select(F.col("doc_id").alias("_id"), ordered.alias("_secrets"))
     masked = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(masked)
-    joined = docs.join(checkpointed(hits), F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(sized_broadcast(checkpointed(hits), 100_000), F.col("doc_id") == F.col("_id"), "left")
     return joined.withColumn("text", text).select(*docs.columns)

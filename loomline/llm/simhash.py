@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import connected
-from loomline.llm.text import checkpointed, small_partitions
+from loomline.llm.text import checkpointed, sized_broadcast, small_partitions
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -225,4 +225,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     A null id joins no component and its row is kept.
     """
     gone = near_copies(docs.where("doc_id is not null")).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(sized_broadcast(checkpointed(gone)), "doc_id", "left_anti")

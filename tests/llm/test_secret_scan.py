@@ -48,6 +48,13 @@ def test_given_labels_teach(spark):
     assert {r.doc_id for r in got} == {i for i in secrets if i % 6 == 1}
 
 
+def test_one_sided_labels_decide_alone(spark):
+    rows = [row(1, "mail a.b.12@mail3.example.com now"), row(2, "call 4041894974608795 or 10.20.30.140")]
+    assert {r.score for r in secret_scan.scan(frame(spark, rows)).collect()} == {0.0}
+    none = secret_scan.marked_by_format(secret_scan.findings(frame(spark, [])))
+    assert {r.score for r in secret_scan.scan(frame(spark, rows), secret_scan.checkpointed(none)).collect()} == {1.0}
+
+
 def test_masking_keeps_rows_and_columns(spark):
     rows, secrets = corpus()
     rows = rows + odd_rows(5000)
