@@ -14,6 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loomline.plans.queries import QUERIES  # noqa: E402
+from loomline.operators.groups import release  # noqa: E402
 from loomline.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -40,6 +41,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 # Inputs below this size fit in a single task, so no group in them can be hot.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
+# Inputs below this size are not counted.
+TINY_INPUT_BYTES = 8 * 1024 * 1024
 # Sides up to this estimated size are broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Groups above this many rows are split.
@@ -40,6 +42,8 @@ CELL_BYTES = 32
 MAX_HOT_KEYS = 20_000
 
 _PART = "_slice"
+# Intermediate tables written by this process and not yet released.
+_STORED: list[str] = []
 
 
 def _setting(spark: SparkSession, name: str, default: int) -> int:
@@ -68,9 +72,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/loomline/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables stored so far; call it when no result that reads them is in use.
+
+    Results are lazy, so the library can't know when that is. Returns how many were deleted.
+    """
+    paths, _STORED[:] = list(_STORED), []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def spread(stored: DataFrame) -> DataFrame:
     """Give a stored table at least as many partitions as the cluster has cores.
 
@@ -96,7 +113,15 @@ def output_bytes(df: DataFrame) -> int:
 
 
 def is_small_input(df: DataFrame) -> bool:
-    return input_bytes(df) <= _setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES)
+    """Whether the whole of ``df`` fits in one task, by its leaves' bytes and by its own rows.
+
+    Rows are counted unless the leaves are tiny: constant keys compress to almost nothing,
+    and joins and explodes give more rows than the leaves have.
+    """
+    size = input_bytes(df)
+    if size > _setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES):
+        return False
+    return size <= TINY_INPUT_BYTES or df.count() <= _setting(df.sparkSession, "rowsPerTask", ROWS_PER_TASK)
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -323,8 +348,9 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     the limit, by the counted size of the written ``dim`` (estimates of aggregates
     are far too high). Otherwise rows of hot keys are joined to a
     broadcast of just those keys' ``dim`` rows (at most ``MAX_HOT_KEYS``), and all
-    other rows go through the ordinary shuffle join. ``how`` is any join that
-    keeps rows of ``facts``: inner, left, left_semi or left_anti.
+    other rows go through the ordinary shuffle join. Rows with a null key match
+    nothing and take no part in it. ``how`` is any join that keeps rows of
+    ``facts``: inner, left, left_semi or left_anti.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -335,9 +361,18 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str =
     dim = checkpointed(dim)
     if dim.count() * len(dim.columns) * CELL_BYTES <= limit:
         return facts.join(F.broadcast(dim), on, how)
-    hot = hot_keys(facts, on)
-    if hot is None:
-        return facts.join(dim, on, how)
+    if not is_small_input(facts):
+        facts = checkpointed(facts)  # counted, split and joined from here on
+    absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    keyed = facts.where(~absent)
+    hot = hot_keys(keyed, on)
+    joined = keyed.join(dim, on, how) if hot is None else _hot_and_cold(keyed, dim, hot, on, how)
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(facts.where(absent), allowMissingColumns=True)
+
+
+def _hot_and_cold(facts: DataFrame, dim: DataFrame, hot: DataFrame, on: list[str], how: str) -> DataFrame:
     hot_dim = dim.join(F.broadcast(hot), on, "left_semi")
     hot_facts = facts.join(F.broadcast(hot), on, "left_semi")
     cold_facts = facts.join(F.broadcast(hot), on, "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions import scalar as S
-from loomline.operators.groups import checkpointed, lookup_join
+from loomline.operators.groups import checkpointed, group_percentiles, lookup_join
 
 
 def dataset_summary(df: DataFrame, target: str) -> DataFrame:
@@ -23,13 +23,17 @@ def dataset_summary(df: DataFrame, target: str) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, min and max per numeric column, one row each."""
+    """Count, mean, sample deviation, min, exact quartiles and max per numeric column, one row each."""
     stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{s}") for c in columns for s, f in stats.items()])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{s}").alias(s) for s in stats]) for c in columns
     ])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    summary = wide.select(F.explode(rows).alias("r")).select("r.*")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = df.select(F.explode(cells).alias("c")).select("c.*")
+    quartiles = group_percentiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return summary.join(F.broadcast(quartiles), "column", "left")  # one row per column
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -533,8 +533,10 @@ SQL["balanced_weights"] = f"""
 SELECT doc_id, toxic, {rnd("count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY toxic))")} AS class_weight FROM labels"""
 SQL["dataset_profile"] = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({c}) AS count, {rnd(f'avg({c})', 5)} AS mean, {rnd(f'stddev_samp({c})', 5)} AS stddev,
-       {rnd(f'min({c})', 5)} AS min, {rnd(f'max({c})', 5)} AS max FROM lineitem"""
-    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+       {rnd(f'min({c})', 5)} AS min, {rnd(f'max({c})', 5)} AS max,
+       {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 5)} AS p25, {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 5)} AS p50,
+       {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 5)} AS p75 FROM lineitem"""
+    for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 SQL["dataset_summary"] = f"""
 SELECT count(*) AS n_rows, 11 AS n_cols, {rnd('min(l_discount)')} AS target_min, {rnd('max(l_discount)')} AS target_max,
        {rnd('avg(l_discount)')} AS target_mean,

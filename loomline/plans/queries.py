@@ -139,7 +139,7 @@ def pair_columns(df, features):
 def linkage_sampled_pairs(spark, sf_dir):
     """One positive and one negative pair per event."""
     observed, truth = linkage_parts(spark, sf_dir)
-    df = pairs.linkage_pairs(observed, truth, 2 * observed.count())
+    df = pairs.linkage_pairs(observed, truth, None)
     return pair_columns(df, ["a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES])
 
 
@@ -165,7 +165,7 @@ def linkage_window_candidates(spark, sf_dir):
 
 
 def matcher_parts(spark, sf_dir):
-    offers = shapes.offerings(spark, sf_dir)
+    offers = checkpointed(shapes.offerings(spark, sf_dir))
     truth = offers.select("catalog_id", "true_canonical_id", "true_category_path")
     return offers.drop("true_canonical_id", "true_category_path"), truth
 
@@ -174,7 +174,7 @@ def matcher_parts(spark, sf_dir):
 def matcher_sampled_pairs(spark, sf_dir):
     """One positive and one negative pair per offering."""
     offers, truth = matcher_parts(spark, sf_dir)
-    df = pairs.matcher_pairs(offers, truth, 2 * offers.count())
+    df = pairs.matcher_pairs(offers, truth, None)
     return pair_columns(df, ["a_catalog_id", "b_catalog_id", *pairs.MATCHER_FEATURES])
 
 
@@ -182,8 +182,9 @@ def matcher_sampled_pairs(spark, sf_dir):
 def matcher_hard_negatives(spark, sf_dir):
     """Negatives biased to the same category, one per offering."""
     offers, truth = matcher_parts(spark, sf_dir)
+    known = checkpointed(offers.join(truth, "catalog_id"))
     df = pairs.sample_negative_pairs(
-        offers.join(truth, "catalog_id"), "true_canonical_id", offers.count(), 42,
+        known, "true_canonical_id", known.count(), 42,
         pairs.MATCHER_COLUMNS, "catalog_id", block="true_category_path",
     )
     return pair_columns(pairs.matcher_features(df), ["a_catalog_id", "b_catalog_id", *pairs.MATCHER_FEATURES])
@@ -482,7 +483,7 @@ def balanced_weights(spark, sf_dir):
 
 @query
 def dataset_profile(spark, sf_dir):
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     return rounded(profile.profile(shapes.table(spark, sf_dir, "lineitem"), cols), 5)
 
 
@@ -498,7 +499,7 @@ def dataset_fingerprint(spark, sf_dir):
 
 @query
 def unseen_category(spark, sf_dir):
-    """Part types coded over the types of suppliers' first halves, the rest unseen."""
+    """Part types coded over all types but PROMO, which counts as unseen."""
     part = shapes.table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     known = profile.fit_vocabulary(part.where("p_type <> 'PROMO'"), "p_type")
     coded = part.select(

@@ -3,9 +3,33 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers, once per application, so that they can import it.
+
+    The archive is a few hundred kilobytes; Spark serves it from the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        top = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="loomline-"), "loomline.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for folder, _, names in os.walk(top):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.join("loomline", os.path.relpath(full, top)))
+        spark.sparkContext.addPyFile(path)
+        _SHIPPED.add(app)
+    return spark
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Session settings the queries rely on.

@@ -83,12 +83,44 @@ def test_percentiles(frame, rows, grouping):
             assert got[key] == pytest.approx(tuple(np.percentile(values, [25, 90])))
 
 
+def test_stored_tables_can_be_released(spark):
+    import os
+
+    stored = G.checkpointed(spark.range(5))
+    path = G._STORED[-1]
+    assert os.path.isdir(path) and stored.count() == 5
+    assert G.release(spark) >= 1 and not os.path.exists(path) and G.release(spark) == 0
+
+
 def test_percentiles_of_a_group_of_nulls(spark, grouping):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", None)], "key string, v double")
     got = {r["key"]: r["m"] for r in G.group_percentiles(df, ["key"], "v", {"m": 0.5}).collect()}
     assert got == {"a": None, "b": 1.0}
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_lookup_of_null_keys_needs_no_shuffle(spark, how):
+    """95 % null keys beyond the broadcast limit: right rows, and none of the nulls in the shuffle."""
+    facts = spark.range(4000).select(F.when(F.col("id") % 20 == 0, F.col("id") % 7).alias("key"), "id")
+    dim = spark.range(5).select(F.col("id").alias("key"), (F.col("id") * 10).alias("d"))
+    spark.conf.set("spark.loomline.broadcastBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = G.lookup_join(facts, dim, ["key"], how)
+        rows = [r.asDict() for r in got.collect()]
+    finally:
+        spark.conf.unset("spark.loomline.broadcastBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    key = {i: i % 7 if i % 20 == 0 else None for i in range(4000)}
+    want = {"inner": {i for i, k in key.items() if k is not None and k < 5}, "left": set(key)}
+    want |= {"left_semi": want["inner"], "left_anti": set(key) - want["inner"]}
+    assert len(rows) == len(want[how]) and {r["id"] for r in rows} == want[how]
+    if how in ("inner", "left"):
+        assert all(r["d"] == (None if key[r["id"]] is None or key[r["id"]] > 4 else 10 * key[r["id"]]) for r in rows)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(key" in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join(spark, frame, rows, grouping, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4)], "key string, d int")

@@ -116,7 +116,7 @@ def test_profiles(spark, scored, grouping):
     weighted = profile.with_balanced_weight(scored, "y").groupBy("y").agg(F.sum("class_weight").alias("w"))
     assert all(r["w"] == pytest.approx(200) for r in weighted.collect())
     row = profile.profile(scored, ["s"]).first()
-    assert row["count"] == 400 and row["min"] == 0.0
+    assert row["count"] == 400 and row["min"] == 0.0 and row["min"] <= row["p25"] <= row["p50"] <= row["p75"] <= row["max"]
     assert profile.dataset_summary(scored, "y").first()["n_cols"] == 3
 
 
@@ -178,8 +178,12 @@ def test_importance(spark):
     df = spark.createDataFrame([(i, a, b, int(a > 0.5)) for i, a, b in rows], "id int, a double, b double, target int")
     model = models.random_forest(["a", "b"], {"n_estimators": 5}).fit(df)
     assert models.impurity_importance(model, ["a", "b"])[0][0] == "a"
-    moved = models.permuted(df, ["id"], "a", 1)
-    assert sorted(r["a"] for r in moved.collect()) == sorted(r["a"] for r in df.collect())
-    assert moved.join(df.withColumnRenamed("a", "old"), "id").where("a <> old").count() > 250
+    moved = models.permuted(df, ["id"], ["a", "b"], 2, 1)
+    assert moved.count() == 4 * 300
+    for r in range(2):
+        one = moved.where(f"_feature = 'a' AND _repeat = {r}")
+        assert sorted(x["a"] for x in one.collect()) == sorted(x["a"] for x in df.collect())
+        old = one.join(df.select("id", F.col("a").alias("_a"), F.col("b").alias("_b")), "id")
+        assert old.where("a <> _a").count() > 250 and old.where("b <> _b").count() == 0
     got = {r["feature"]: r["mean_auc_loss"] for r in models.permutation_importance(model, df, ["id"], ["a", "b"], repeats=2).collect()}
     assert got["a"] > 0.3 > abs(got["b"]) + 0.2
