@@ -18,11 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.operators.groups import checkpointed  # noqa: F401  (used by the operators)
+from loomline.operators.groups import checkpointed, input_bytes  # noqa: F401  (used by the operators)
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Text bytes that a task works on at once.
 SLICE_BYTES = 1 << 20
+# Inputs above this size are taken as they are split.
+SMALL_BYTES = 64 << 20
 # A counted side of at most this many narrow rows is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -42,7 +44,13 @@ def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def small_partitions(df: DataFrame) -> DataFrame:
-    """As many partitions as cores at least, for a table read from few files."""
+    """As many partitions as cores at least, for a small table read from few files.
+
+    Large inputs have splits enough and are not looked at: asking for the partitions of a
+    plan with shuffles runs them.
+    """
+    if input_bytes(df) > SMALL_BYTES:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
