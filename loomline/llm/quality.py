@@ -2,7 +2,8 @@
 
 Base rules judge a text by itself (too few words, too much repetition). The outlier test
 compares it with its peers: the documents of one language and source, or of the language, or
-all, whichever is the first with ``MIN_GROUP`` documents. A text's statistics are shrunk to
+all, whichever is the first with ``MIN_GROUP`` documents that pass the base rules. Each of
+these groups is estimated over all its documents, whichever peers judge them. A text's statistics are shrunk to
 typical values where it is short and transformed to even scales; location and scatter of each
 group are minimum-covariance-determinant estimates, and a text whose squared Mahalanobis
 distance exceeds ``CUTOFF`` is rejected.
@@ -160,14 +161,29 @@ def _inverted(groups: DataFrame) -> DataFrame:
 
 
 def _peers(stats: DataFrame) -> DataFrame:
-    """Add ``peers``: the smallest group of language and source, language, or all that is large enough."""
+    """Add ``peers``, the smallest large enough group of language and source, language, or all, and ``teaches``.
+
+    ``teaches`` holds those groups of the document that judge any document: it enters the estimate of each.
+    """
     tag = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     keyed = stats.withColumns({"_lang": tag("lang"), "_both": F.to_json(F.array(tag("lang"), tag("source")))})
-    sizes = checkpointed(keyed.groupBy("_lang", "_both").agg(F.count(F.lit(1)).alias("n")))
+    passed = F.count(F.when(~F.col("base_failed"), 1))
+    sizes = checkpointed(keyed.groupBy("_lang", "_both").agg(passed.alias("n")))
     wide = sizes.groupBy("_lang").agg(F.sum("n").alias("all"))
-    chosen = sizes.join(wide, "_lang").select(
+    chosen = checkpointed(sizes.join(wide, "_lang").select(
         "_lang", "_both",
         F.when(F.col("n") >= MIN_GROUP, F.col("_both")).when(F.col("all") >= MIN_GROUP, F.col("_lang")).otherwise("all").alias("peers"),
+    ))
+    # a language judges where one of its sources is small, all documents where one language is
+    of_lang = chosen.groupBy("_lang").agg(F.max(F.col("peers") == F.col("_lang")).alias("judges"))
+    of_all = chosen.agg(F.coalesce(F.max(F.col("peers") == "all"), F.lit(False))).first()[0]
+    used = lambda key, when: F.when(when, F.array(key)).otherwise(F.array().cast("array<string>"))
+    chosen = chosen.join(of_lang, "_lang").select(
+        "_lang", "_both", "peers",
+        F.concat(
+            used(F.col("_both"), F.col("peers") == F.col("_both")), used(F.col("_lang"), F.col("judges")),
+            used(F.lit("all"), F.lit(of_all)),
+        ).alias("teaches"),
     )
     return keyed.join(sized_broadcast(checkpointed(chosen), GROUP_ROWS), ["_lang", "_both"]).drop("_lang", "_both")
 
@@ -210,7 +226,8 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     stats = checkpointed(statistics(docs, ["doc_id", "lang", "source"]).withColumn("base_failed", base_failed()))
     points = checkpointed(_peers(stats).select("*", *vector()))
-    groups = estimates(points.where("not base_failed").select("peers", *_NAMES))
+    teaching = points.where("not base_failed").select(F.explode("teaches").alias("peers"), *_NAMES)
+    groups = estimates(teaching)
     far = points.join(sized_broadcast(groups, GROUP_ROWS), "peers", "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= F.lit(float(CUTOFF)))
     return far.withColumn("kept", kept).select(

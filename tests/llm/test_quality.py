@@ -72,3 +72,27 @@ def test_small_and_empty(spark):
     one = quality.judged(frame(spark, [row(1, " ".join(words(40, 1)))])).collect()
     assert one[0].kept and quality.judged(frame(spark, [row(1, None)])).collect()[0].base_failed
     assert quality.judged(frame(spark, [])).collect() == []
+
+
+def test_fallback_groups_hold_all_their_documents(spark):
+    """Outliers of a small source, and of a rare language, are judged by the language and by all."""
+    def text(i, sign=""):
+        return " ".join(w + sign for w in words(60, i))
+
+    rows = [row(i, text(i), lang="en", source="hot") for i in range(200)]
+    rows += [row(1000, text(1000, "***"), lang="en", source="tiny"), row(1001, text(1001), lang="en", source="tiny")]
+    rows += [row(2000 + i, text(2000 + i, "***"), lang="xx", source=f"s{i}") for i in range(3)]
+    rows += [row(2010, text(2010), lang="xx", source="s9")]
+    got = {r.doc_id: r for r in quality.judged(frame(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert (got[0].peers, got[1000].peers, got[2000].peers) == (got[0].peers, "=en", "all") and "hot" in got[0].peers
+    assert all(got[i].kept for i in [*range(200), 1001, 2010])
+    assert not any(got[i].kept for i in (1000, 2000, 2001, 2002))
+
+
+def test_groups_are_counted_without_failed_documents(spark):
+    rows = [row(i, " ".join(words(60, i)), source="hot") for i in range(100)]
+    rows += [row(500 + i, "too short", source="small") for i in range(80)]
+    rows += [row(600, " ".join(w + "***" for w in words(60, 600)), source="small")]
+    got = {r.doc_id: r for r in quality.judged(frame(spark, rows)).collect()}
+    assert not got[600].kept and got[0].kept
