@@ -1,8 +1,9 @@
 """Secret scan: broad detection, then a random forest that removes false positives.
 
-Detection takes every word that could hold a credential: a run of twelve or more characters
-of codes with a digit or with changing case, a value assigned to a word like ``password``,
-or a private key's header. Most of that is harmless (addresses, numbers, names of things).
+Detection takes every value that could be a credential, all of them where a word holds
+several: a run of twelve or more characters of codes with a digit or with changing case, a
+value assigned to a word like ``password``, within one word or with spaces about the sign,
+and a key from its header to its end. A private key is a secret by its header. Most of the rest is harmless (addresses, numbers, names of things).
 The forest judges each finding by its length, its character transitions (share of changes
 of class, and mean log-likelihood of its letter pairs under the corpus dictionary), the share
 of its letters that dictionary words cover, the path or address it stands in, and the words
@@ -12,8 +13,8 @@ around it. It learns from labelled findings, at most ``TRAINING_ROWS`` of each l
 provider's format or an assignment gives away against all others. The forest sees neither
 the format nor the name that a value is assigned to.
 
-The dictionary is counted over all documents; ``DICTIONARY_WORDS`` bounds its size. All work
-is DataFrame expressions and Spark ML.
+The dictionary is counted over all documents and holds all their words. All work is DataFrame
+expressions and Spark ML.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from loomline.llm.text import checkpointed, sized_broadcast, small_partitions
 
 TRAINING_ROWS = 10_000
-DICTIONARY_WORDS = 20_000
+# Up to this many dictionary words beside findings are broadcast, more are joined by shuffle.
+KNOWN_ROWS = 100_000
 TREES, DEPTH = 40, 8
 LIMIT = 0.5
 MASK = "[SECRET]"
@@ -45,7 +47,21 @@ _RUN = r"[0-9A-Za-z+/_.@\-]{12,}"
 _CODE = rf"(?=[A-Za-z+/_.@\-]*[0-9]|[A-Z0-9+/_.@\-]*[a-z]+[A-Z]){_RUN}"
 _ASSIGNED = rf"(?i)({NAMES})[\"']?[=:]+[\"']?[^\x20\x09-\x0D\"']{{6,}}"
 _KEY_HEADER = r"-----BEGIN"
+# From a key's header to its end; without an end, to the last line of the body.
+_KEY = (
+    r"(-----BEGIN[A-Z0-9 ]*+-----[^-]*+(?:-{1,4}(?!-)[^-]*+)*+-----END[^-\n]*+(?:-----)?"
+    r"|-----BEGIN[A-Z0-9 ]*+(?:-----)?(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{20,}+)*+)"
+)
+_PRIVATE_KEY = r"^-----BEGIN[A-Z0-9 ]*PRIVATE KEY"
 _NAMED = rf"(?i)^[\"']?([a-z]+[_\-.])*({NAMES})[\"']?([=:]+>?)?$"
+_SIGN = r"^[=:]+>?$"
+_NAME_END = rf"(?i)(^|[^a-z])({NAMES})[\"']?$"
+_NAME_SIGN_END = rf"(?i)(^|[^a-z])({NAMES})[\"']?[=:]+>?$"
+_SPACED = rf"(?i)({NAMES})[\"']?([=:]+>?[\x20\x09-\x0D]|[\x20\x09-\x0D]+[=:])"
+# A value ends with the word, at a quote, or before the next name and sign.
+_VALUE = r"([^\x20\x09-\x0D\"'<>]{6,}?)(?=[\"'.,;:!?)\]}>]*$|[\"'<>]|[,;&|{}]+[\"']?[\w.\-]+[\"']?[=:])"
+_ASSIGNED_VALUE = rf"(?i)(?:{NAMES})[\"']?[=:]+>?[\"']?{_VALUE}"
+_FOLLOWING_VALUE = rf"^[=:]*>?[\"'(\[{{]*{_VALUE}"
 
 FEATURES = [
     "length", "digits", "uppers", "vowels", "distinct_share", "changes", "pair_score", "longest_letters", "coverage",
@@ -54,61 +70,74 @@ FEATURES = [
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """``(doc_id, position, word, value, before, second, after)``: words that may hold a secret.
+    """``(doc_id, position, word, value, before, second, after, by_name)``: values that may be secrets.
 
     ``position`` counts words from 0; ``before``, ``second`` and ``after`` are neighbouring
-    words, empty where there is none. Null and empty texts have no findings.
+    words, empty where there is none. A word gives each of its values once; ``by_name`` says
+    that a credential's name and a sign stand before the value. A key is one finding at the
+    word of its header. Null and empty texts have no findings.
     """
     text = F.col("text").cast("string")
     docs = small_partitions(docs.select("doc_id", "text"))
-    words = docs.where(text.rlike("[0-9]") | text.rlike(_ASSIGNED) | text.rlike(_CODE)).select(
-        "doc_id", F.array_remove(F.split(text, _SPACES), "").alias("words")
-    )
+    split = lambda t: F.array_remove(F.split(t, _SPACES), "")
+
+    def span(k: Column) -> Column:
+        ahead = F.substring(text, F.lit(1), F.instr(text, k) - 1)
+        first = F.size(split(ahead)) - F.when(ahead.rlike(r"[^\x20\x09-\x0D]$"), 1).otherwise(0)
+        return F.struct(first.alias("first"), (first + F.size(split(k))).alias("stop"), k.alias("key"))
+
+    keys = F.when(text.contains(_KEY_HEADER), F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(_KEY), 1)), span))
+    words = docs.where(
+        text.rlike("[0-9]") | text.contains(_KEY_HEADER) | text.rlike(_ASSIGNED) | text.rlike(_SPACED) | text.rlike(_CODE)
+    ).select("doc_id", split(text).alias("words"), F.coalesce(keys, F.array().cast("array<struct<first:int,stop:int,key:string>>")).alias("keys"))
     word = lambda i: F.get(F.col("words"), i)
+    near = lambda i, k: F.coalesce(F.get(F.col("words"), i + k), F.lit(""))
+
+    def follows(i: Column) -> Column:
+        """A credential's name and a sign stand before the value, with spaces about the sign."""
+        b = near(i, -1)
+        joined = (b.endswith("=") | b.endswith(":") | b.endswith(">")) & b.rlike(_NAME_SIGN_END)
+        apart = (b.startswith("=") | b.startswith(":")) & b.rlike(_SIGN) & near(i, -2).rlike(_NAME_END)
+        ahead = (word(i).startswith("=") | word(i).startswith(":")) & b.rlike(_NAME_END)
+        return (F.length(word(i)) >= 6) & (joined | apart | ahead)
 
     def suspect(i: Column) -> Column:
         w = word(i)
-        return (F.length(w) >= 10) & (w.rlike(_CODE) | w.rlike(_ASSIGNED))
-
-    headed = lambda i: word(i).startswith(_KEY_HEADER)
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: suspect(i) | headed(i))
-    at = F.transform(
-        places,
-        lambda i: F.struct(
-            i.alias("position"), word(i).alias("word"),
-            *[F.coalesce(F.get(F.col("words"), i + k), F.lit("")).alias(n)
-              for k, n in ((-1, "before"), (-2, "second"), (1, "after"))],
-        ),
+        return ((F.length(w) >= 10) & (w.rlike(_CODE) | w.rlike(_ASSIGNED))) | follows(i)
+
+    in_key = lambda i: F.exists("keys", lambda k: (i >= k["first"]) & (i < k["stop"]))
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: suspect(i) & ~in_key(i))
+    neighbours = lambda i: [near(i, k).alias(n) for k, n in ((-1, "before"), (-2, "second"), (1, "after"))]
+    none = F.lit(None).cast("string").alias("key")
+    at = F.concat(
+        F.transform(places, lambda i: F.struct(i.alias("position"), word(i).alias("word"), *neighbours(i), follows(i).alias("follows"), none)),
+        F.transform("keys", lambda k: F.struct(
+            k["first"].alias("position"), word(k["first"]).alias("word"), *neighbours(k["first"]), F.lit(False).alias("follows"), k["key"].alias("key")
+        )),
     )
     out = words.where(F.size("words") > 0).select("doc_id", F.explode(at).alias("f")).select("doc_id", "f.*")
-    assigned = F.regexp_extract("word", r"(?i)[=:][\"']?([^\x20\x09-\x0D\"'<>]{6,}?)[\"'.,;:!?)\]}>]*$", 1)
-    code = F.rtrim(F.regexp_extract("word", f"({_CODE})", 1), F.lit(".-"))
-    named = F.col("word").rlike(_ASSIGNED)
-    value = F.when(F.col("word").startswith(_KEY_HEADER), F.col("word")).when(named & (assigned != ""), assigned).otherwise(code)
-    return out.withColumn("value", value).where(F.length("value") >= 6)
-
-
-def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """``(entry, n)``: the commonest words of three letters or more, counted over all documents.
-
-    Equally common words are taken together, or left out where they don't all fit.
-    """
+    assigned = F.array_distinct(F.concat(
+        F.regexp_extract_all("word", F.lit(_ASSIGNED_VALUE), 1),
+        F.when(F.col("follows"), F.array(F.regexp_extract("word", _FOLLOWING_VALUE, 1))).otherwise(F.array().cast("array<string>")),
+    ))
+    assigned = F.array_remove(assigned, "")
+    code = F.transform(F.regexp_extract_all("word", F.lit(f"({_CODE})"), 1), lambda c: F.rtrim(c, F.lit(".-")))
+    out = out.withColumns({"_named": F.when(F.col("key").isNull(), assigned).otherwise(F.array("key")), "_codes": F.array_distinct(code)})
+    # a code inside an assigned value is part of it
+    other = F.filter("_codes", lambda c: ~F.exists("_named", lambda a: a.contains(c)))
+    values = F.when(F.col("key").isNull(), F.concat("_named", other)).otherwise(F.col("_named"))
+    out = out.withColumn("value", F.explode(values)).withColumn("by_name", F.array_contains("_named", F.col("value")))
+    return out.where(F.length("value") >= 6).drop("follows", "key", "_named", "_codes")
+
+
+def dictionary(docs: DataFrame) -> DataFrame:
+    """``(entry, n)``: the words of three letters or more, counted over all documents."""
     every = small_partitions(docs.select("text")).select(
         F.explode(F.split(F.lower(F.col("text").cast("string")), _SPACES)).alias("w")
     )
     entry = F.rtrim(F.col("w"), F.lit(".,;:!?"))
     counted = every.select(entry.alias("entry")).where(F.length("entry").between(3, 24)).groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
-    counted = checkpointed(counted.where(F.col("entry").rlike(r"^\p{L}+$")))
-    # the count that at most ``words`` entries reach, from how many entries have each count
-    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("entries"))
-    best = sizes.orderBy(F.desc("n")).limit(words).collect()
-    least, reached = 1 << 62, 0
-    for r in best:
-        reached += r.entries
-        if reached > words:
-            break
-        least = r.n
-    return checkpointed(counted.where(F.col("n") >= F.lit(least)))
+    return checkpointed(counted.where(F.col("entry").rlike(r"^\p{L}+$")))
 
 
 def _pairs(text: Column) -> Column:
@@ -154,14 +183,24 @@ def with_features(found: DataFrame, entries: DataFrame, scores: dict[str, float]
     )
     key = ["doc_id", "position", "value"]
     parts = plain.select(*key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(v), F.lit("([a-z]{3,})"), 1))).alias("entry"))
-    hits = parts.join(entries.select("entry"), "entry").groupBy(*key).agg(F.sum(F.length("entry")).alias("covered"))
+    # repeated rows count once; a null id is an id like any other
+    parts = parts.distinct()
     tidy = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}]+$|^[^\p{L}]+", ""))
-    known = lambda name, c: entries.select(F.col("entry").alias(c), F.lit(1.0).alias(name))
+    # of the dictionary, the words that the findings ask for: each asked once
+    asked = found.select(F.explode(F.concat(
+        F.regexp_extract_all(F.lower(v), F.lit("([a-z]{3,})"), 1), F.array(tidy(F.col("before")), tidy(F.col("after")))
+    )).alias("entry")).distinct()
+    known = checkpointed(asked.join(entries.select("entry"), "entry", "left_semi"))
+    known = sized_broadcast(known, KNOWN_ROWS)
+    hits = parts.join(known, "entry").groupBy(*key).agg(F.sum(F.length("entry")).alias("covered"))
+    hits = hits.select(F.col("doc_id").alias("_id"), F.col("position").alias("_at"), F.col("value").alias("_value"), "covered")
     joined = (
-        plain.join(hits, key, "left")
+        plain.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("position") == F.col("_at")) & (F.col("value") == F.col("_value")), "left")
+        .drop("_id", "_at", "_value")
         .withColumns({"_b": tidy(F.col("before")), "_a": tidy(F.col("after"))})
-        .join(known("known_before", "_b"), "_b", "left").join(known("known_after", "_a"), "_a", "left")
     )
+    for name, c in (("known_before", "_b"), ("known_after", "_a")):
+        joined = joined.join(known.select(F.col("entry").alias(c), F.lit(1.0).alias(name)), c, "left")
     total = F.greatest(F.regexp_count(v, F.lit("[A-Za-z]")), F.lit(1))
     return joined.withColumn("coverage", F.coalesce("covered", F.lit(0)) / total).na.fill(
         0.0, ["known_before", "known_after"]
@@ -171,7 +210,7 @@ def with_features(found: DataFrame, entries: DataFrame, scores: dict[str, float]
 def marked_by_format(found: DataFrame) -> DataFrame:
     """``found`` with ``label``: 1.0 for a provider's format, an assigned or a named value, else 0.0."""
     named = F.col("before").rlike(_NAMED) | (F.col("before").rlike("^[=:]+>?$") & F.col("second").rlike(_NAMED))
-    sure = F.col("value").rlike(FORMATS) | F.col("word").rlike(_ASSIGNED) | named | F.col("word").startswith(_KEY_HEADER)
+    sure = F.col("value").rlike(FORMATS) | F.col("by_name") | named | F.col("value").startswith(_KEY_HEADER)
     return found.withColumn("label", sure.cast("double"))
 
 
@@ -189,7 +228,9 @@ class Scanner:
         x = with_features(found, self.entries, self.scores)
         if self.forest is None:
             return x.withColumn("score", F.lit(self.otherwise))
-        return self.forest.transform(_assembled(x)).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
+        score = F.get(vector_to_array("probability"), F.lit(1))
+        score = F.when(F.col("value").rlike(_PRIVATE_KEY), 1.0).otherwise(score)
+        return self.forest.transform(_assembled(x)).withColumn("score", score)
 
 
 def _assembled(x: DataFrame) -> DataFrame:
@@ -226,11 +267,16 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 def mask_secrets(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     """``docs`` with the secrets of each text replaced by ``MASK``; all rows and columns stay."""
-    hits = scan(docs).where(F.col("score") >= limit).groupBy("doc_id").agg(F.collect_set("value").alias("_secrets"))
+    # rows without an id are known by their text
+    key = F.coalesce(
+        F.concat(F.lit("="), F.col("doc_id").cast("string")), F.concat(F.lit("-"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))), F.lit("-")
+    )
+    keyed = docs.select("text", key.alias("doc_id"))
+    hits = scan(keyed).where(F.col("score") >= limit).groupBy("doc_id").agg(F.collect_set("value").alias("_secrets"))
     # longer ones first: a secret may contain another
     ordered = F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a))
     hits = hits.select(F.col("doc_id").alias("_id"), ordered.alias("_secrets"))
     masked = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(masked)
-    joined = docs.join(sized_broadcast(checkpointed(hits), 100_000), F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(sized_broadcast(checkpointed(hits), 100_000), key == F.col("_id"), "left")
     return joined.withColumn("text", text).select(*docs.columns)

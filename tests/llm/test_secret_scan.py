@@ -75,3 +75,27 @@ def test_empty_and_clean_tables(spark):
     assert secret_scan.scan(frame(spark, odd_rows(0)[:4])).collect() == []
     clean = [row(1, "nothing here"), row(2, None)]
     assert sorted(r.text or "" for r in secret_scan.mask_secrets(frame(spark, clean)).collect()) == ["", "nothing here"]
+
+
+def test_every_secret_of_a_word_spaced_values_keys_and_rows_without_id(spark):
+    rows, _ = corpus()
+    rng = random.Random(9)
+    aws = lambda: "AKIA" + "".join(rng.choices(string.ascii_uppercase + "234567", k=16))
+    a, b, c, d = (aws() for _ in range(4))
+    body = "\n".join("".join(rng.choices(string.ascii_letters + string.digits, k=64)) for _ in range(4)) + "\nQ=="
+    key = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,A1\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    rows += [
+        row(1000, f'see {{"api_key":"{a}","password":"hunter2xyz9","user":"bob"}} here'),
+        row(1001, f"keys {b},{c} end"),
+        row(1002, "login password = hunter2x now"),
+        row(1003, f"before\n{key}\nafter all"),
+        row(None, f"no id {d} at all"),
+    ]
+    got = secret_scan.findings(frame(spark, rows)).collect()
+    values = lambda i: {r.value for r in got if r.doc_id == i}
+    assert values(1000) == {a, "hunter2xyz9"} and values(1001) == {b, c} and values(1002) == {"hunter2x"}
+    assert values(1003) == {key} and values(None) == {d}
+    text = {r.doc_id: r.text for r in secret_scan.mask_secrets(frame(spark, rows)).where("doc_id >= 1000 or doc_id is null").collect()}
+    assert text[1000] == 'see {"api_key":"[SECRET]","password":"[SECRET]","user":"bob"} here'
+    assert text[1001] == "keys [SECRET],[SECRET] end" and text[1003] == "before\n[SECRET]\nafter all"
+    assert text[1002] == "login password = [SECRET] now" and text[None] == "no id [SECRET] at all"
