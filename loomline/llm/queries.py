@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontaminate, language, mixing, quality, secret_scan, simhash, substrings, toxicity, url_templates, wrappers
+from loomline.llm import (
+    centroids, decontaminate, language, mixing, packing, quality, secret_scan, simhash, spelling, substrings, toxicity, url_templates, wrappers,
+)
+from loomline.llm import oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,3 +115,29 @@ def op2_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return wrappers.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op11_chunk_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its usual form, the root of its forms and its near words."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact distance of every vector after ten rounds, with inertias and centroid digests."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    found = packing.packed(table(spark, sf_dir, "documents"), str(public_tokenizers.path(packing.TOKENIZER)))
+    return found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+SQL["op11_chunk_variants"] = oracles.SPELLING
+SQL["op12_va_clusters"] = oracles.CENTROIDS
