@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomline.functions import scalar as S
 from loomline.operators.groups import lookup_join, with_last_known
@@ -23,16 +25,24 @@ class FeatureView:
     features: tuple[str, ...]
     source: DataFrame
     ttl: timedelta | None = None
+    created_col: str | None = None  # of rows with equal times the one created last counts
 
     def rows(self) -> DataFrame:
-        """Key, time and feature columns of rows that have every key and a time."""
-        df = self.source.select(*self.keys, self.timestamp_col, *self.features)
+        """Key, time, created and feature columns of rows that have every key and a time."""
+        created = [self.created_col] if self.created_col else []
+        df = self.source.select(*dict.fromkeys([*self.keys, self.timestamp_col, *created, *self.features]))
         return df.dropna("any", subset=[*self.keys, self.timestamp_col])
 
     def ttl_micros(self) -> int | None:
         return None if self.ttl is None else self.ttl // timedelta(microseconds=1)
 
 
+def _newest_first(view: FeatureView) -> list[Column]:
+    """What orders rows of a view: time, time of creation, then the features themselves."""
+    created = [F.col(view.created_col).alias("_created")] if view.created_col else []
+    return [F.col(view.timestamp_col).alias("_at"), *created, *[F.col(c) for c in view.features]]
+
+
 def as_of_join(
     entities: DataFrame, view: FeatureView, entity_ts: str = "event_timestamp",
     feature_ts: str | None = None,
@@ -40,43 +50,64 @@ def as_of_join(
     """For each entity row, the latest feature row at or before its time.
 
     Features are null when there is none or the latest one is older than the
-    view's time to live (a row exactly at the limit still counts). Both sides are
-    stacked and the last known feature is carried forward in time order: one
-    sort, no range join. ``feature_ts`` names an optional output column with the
-    matched row's time.
+    view's time to live (a row exactly at the limit still counts).
+    ``feature_ts`` names an optional output column with the matched row's time.
     """
-    keys = list(view.keys)
-    feature_row = F.struct(F.col(view.timestamp_col).alias("_at"), *view.features)
-    known = view.rows().select(
-        *keys, F.col(view.timestamp_col).alias("_ts"), F.lit(0).alias("_side"),
-        feature_row.alias("_feature"),
-    )
+    return as_of_join_views(entities, [view], entity_ts, {view.name: feature_ts} if feature_ts else None)
+
+
+def as_of_join_views(
+    entities: DataFrame, views: Sequence[FeatureView], entity_ts: str = "event_timestamp",
+    feature_ts: dict[str, str] | None = None, names: dict[tuple[str, str], str] | None = None,
+) -> DataFrame:
+    """The latest row at or before each entity row's time of every view, in one pass.
+
+    All views have the same keys. Entity rows and the rows of all views are stacked, sorted
+    once by key and time, and the last known row of each view is carried forward: one
+    exchange however many views there are, no range join. Every view has its own time to
+    live and its own tie-break by time of creation. ``feature_ts`` gives the names of columns
+    for the matched rows' times by view, ``names`` new names by (view, feature). Entity rows
+    with a null key or time get nulls.
+    """
+    keys, feature_ts, names = list(views[0].keys), feature_ts or {}, names or {}
+    if any(list(v.keys) != keys for v in views):
+        raise ValueError("views of one pass need the same keys")
+    added = [names.get((v.name, c), c) for v in views for c in v.features] + list(feature_ts.values())
+    twice = sorted({c for c in added if added.count(c) > 1 or c in entities.columns})
+    if twice:
+        raise ValueError(f"several columns would be named {twice}")
     payload = F.struct(*[F.col(c) for c in entities.columns])
-    asked = entities.select(
-        *keys, F.col(entity_ts).alias("_ts"), F.lit(1).alias("_side"), payload.alias("_entity")
+    # rows with a null key match nothing: they are spread out instead of meeting in one task
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    plain = [f.name for f in entities.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    both = entities.select(
+        *keys, F.when(null_key, F.xxhash64(*plain)).otherwise(0).alias("_salt"),
+        F.col(entity_ts).alias("_ts"), F.lit(1).alias("_side"), payload.alias("_entity"),
     )
-    both = known.unionByName(asked, allowMissingColumns=True)
-    order = [F.col("_ts"), F.col("_side"), F.col("_feature")]
-    matched = with_last_known(both, keys, order, {"_latest": "_feature"}).where("_side = 1")
-    fresh = F.lit(True)
-    if view.ttl is not None:
-        age = S.micros(f"_entity.{entity_ts}") - S.micros("_latest._at")
-        fresh = age <= F.lit(view.ttl_micros())
-    # a null key never matches
-    for k in keys:
-        fresh = fresh & F.col(k).isNotNull()
+    for i, view in enumerate(views):
+        both = both.unionByName(view.rows().select(
+            *keys, F.lit(0).cast("bigint").alias("_salt"), F.col(view.timestamp_col).alias("_ts"), F.lit(0).alias("_side"),
+            F.struct(*_newest_first(view)).alias(f"_row{i}"),
+        ), allowMissingColumns=True)
+    order = [F.col("_ts"), F.col("_side"), *[F.col(f"_row{i}") for i in range(len(views))]]
+    latest = {f"_last{i}": f"_row{i}" for i in range(len(views))}
+    matched = with_last_known(both, [*keys, "_salt"], order, latest).where("_side = 1")
     out = [F.col(f"_entity.{c}").alias(c) for c in entities.columns]
-    out += [F.when(fresh, F.col(f"_latest.{c}")).alias(c) for c in view.features]
-    if feature_ts:
-        out.append(F.when(fresh, F.col("_latest._at")).alias(feature_ts))
-    return matched.select(*out)
+    times = []
+    for i, view in enumerate(views):
+        fresh = F.lit(True)
+        if view.ttl is not None:
+            fresh = S.micros("_ts") - S.micros(f"_last{i}._at") <= F.lit(view.ttl_micros())
+        out += [F.when(fresh, F.col(f"_last{i}.{c}")).alias(names.get((view.name, c), c)) for c in view.features]
+        if view.name in feature_ts:
+            times.append(F.when(fresh, F.col(f"_last{i}._at")).alias(feature_ts[view.name]))
+    return matched.select(*out, *times)
 
 
 def latest_rows(view: FeatureView) -> DataFrame:
     """The newest feature row per entity; combines map-side, so hot entities are cheap."""
-    newest = F.max(F.struct(view.timestamp_col, *view.features)).alias("_newest")
-    latest = view.rows().groupBy(*view.keys).agg(newest)
-    return latest.select(*view.keys, *[f"_newest.{c}" for c in (view.timestamp_col, *view.features)])
+    latest = view.rows().groupBy(*view.keys).agg(F.max(F.struct(*_newest_first(view))).alias("_newest"))
+    return latest.select(*view.keys, F.col("_newest._at").alias(view.timestamp_col), *[f"_newest.{c}" for c in view.features])
 
 
 def online_lookup(
@@ -107,16 +138,24 @@ def _chosen(view: FeatureView, refs: Sequence[str]) -> FeatureView | None:
 
 def historical_features(
     entities: DataFrame, views: Sequence[FeatureView], refs: Sequence[str],
-    entity_ts: str = "event_timestamp",
+    entity_ts: str = "event_timestamp", full_names: bool = False,
 ) -> DataFrame:
-    """Training rows with the features named ``view:feature``, each as of the row's time."""
+    """Training rows with the features named ``view:feature``, each as of the row's time.
+
+    Views with the same keys are looked up in one pass. ``full_names`` calls every feature
+    ``view__feature``, as is needed where two views have a feature of one name.
+    """
     unknown = {r.split(":", 1)[0] for r in refs} - {v.name for v in views}
     if unknown:
         raise ValueError(f"unknown feature views: {sorted(unknown)}")
+    passes: dict[tuple[str, ...], list[FeatureView]] = {}
     for view in views:
         chosen = _chosen(view, refs)
         if chosen is not None:
-            entities = as_of_join(entities, chosen, entity_ts)
+            passes.setdefault(chosen.keys, []).append(chosen)
+    for group in passes.values():
+        names = {(v.name, c): f"{v.name}__{c}" for v in group for c in v.features} if full_names else None
+        entities = as_of_join_views(entities, group, entity_ts, names=names)
     return entities
 
 

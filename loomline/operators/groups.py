@@ -83,11 +83,16 @@ def release(spark: SparkSession) -> int:
     """
     paths, _STORED[:] = list(_STORED), []
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove_stored(spark, path)
     return len(paths)
 
 
+def remove_stored(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(stored: DataFrame) -> DataFrame:
     """Give a stored table at least as many partitions as the cluster has cores.
 

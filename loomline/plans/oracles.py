@@ -279,6 +279,27 @@ chosen AS (
   WHERE abs(epoch_us(x.timestamp) - epoch_us(y.timestamp)) <= 21600000000)
 SELECT * EXCLUDE (pair_id, target) FROM (""" + LINKAGE_SELECT + ")"
 
+_BLOCK_MATCH = "(x.device_fingerprint = y.device_fingerprint OR x.ip_bucket = y.ip_bucket OR x.user_id = y.user_id)"
+SQL["linkage_multi_block"] = "WITH " + EV + f""",
+chosen AS (
+  SELECT x.event_id AS a_event_id, y.event_id AS b_event_id, 0 AS pair_id, 0 AS target
+  FROM ev x JOIN ev y ON x.event_id < y.event_id AND x.session_id <> y.session_id
+       AND y.timestamp BETWEEN x.timestamp - INTERVAL 2 HOUR AND x.timestamp + INTERVAL 2 HOUR
+  WHERE {_BLOCK_MATCH})
+SELECT * EXCLUDE (pair_id, target) FROM (""" + LINKAGE_SELECT + ")"
+_BLOCK_KEYS = ["session_id", "device_fingerprint", "ip_bucket", "user_id"]
+SQL["linkage_pruned_blocks"] = "WITH " + EV + ", " + ", ".join(
+    f"s_{k} AS (SELECT {k} FROM ev WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) * (count(*) - 1) / 2 <= 2000)" for k in _BLOCK_KEYS
+) + " UNION ".join(
+    f" SELECT x.event_id AS a_event_id, y.event_id AS b_event_id FROM ev x JOIN ev y ON x.{k} = y.{k} AND x.event_id < y.event_id JOIN s_{k} s ON s.{k} = x.{k}"
+    for k in _BLOCK_KEYS
+)
+SQL["block_weights"] = "WITH " + EV + " UNION ALL ".join(
+    f""" SELECT '{k}' AS block_key, count(*) AS blocks, max(n) AS largest, sum(n * (n - 1) / 2)::DOUBLE AS comparisons,
+     coalesce(sum(n * (n - 1) / 2) FILTER (WHERE n * (n - 1) / 2 <= 2000), 0)::DOUBLE AS kept_comparisons
+FROM (SELECT {k}, count(*) AS n FROM ev WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)""" for k in _BLOCK_KEYS
+)
+
 OFFERS = """
 offers AS (
   SELECT l_partkey * 1000000 + l_suppkey AS catalog_id, l_suppkey % 6 AS retailer,
@@ -348,6 +369,23 @@ SELECT event_id, true_user_id, event_timestamp,
 FROM (SELECT e.*, v.view_value, v.view_referrer, v.view_ts,
              v.view_ts >= e.event_timestamp - INTERVAL 2 DAY AS ok
       FROM e ASOF LEFT JOIN v ON e.true_user_id = v.true_user_id AND e.event_timestamp >= v.view_ts)"""
+
+
+def _asof_views() -> str:
+    ttl = {"page_view": "INTERVAL 1 DAY", "click": "INTERVAL 7 DAY", "add_to_cart": None, "checkout": "INTERVAL 6 HOUR"}
+    ctes, columns, joins = [], [], []
+    for kind, limit in ttl.items():
+        # one row per user and time, then the nearest earlier time
+        ctes.append(f"{kind}_rows AS (SELECT true_user_id, timestamp AS at, max(event_id) AS id, max_by(value, event_id) AS v"
+                    f" FROM ev WHERE event_type = '{kind}' GROUP BY ALL)")
+        fresh = f"{kind}_rows.at >= e.event_timestamp - {limit}" if limit else "true"
+        columns += [f"CASE WHEN {fresh} THEN {kind}_rows.v END AS {kind}__value", f"CASE WHEN {fresh} THEN {kind}_rows.id END AS {kind}__event_id"]
+        joins.append(f"ASOF LEFT JOIN {kind}_rows ON e.true_user_id = {kind}_rows.true_user_id AND e.event_timestamp >= {kind}_rows.at")
+    return (f"WITH {EV}, e AS (SELECT event_id, true_user_id, timestamp AS event_timestamp FROM ev WHERE event_type = 'conversion'),"
+            f"{', '.join(ctes)} SELECT e.*, {', '.join(columns)} FROM e {' '.join(joins)}")
+
+
+SQL["asof_many_views"] = _asof_views()
 LATEST = """
 latest AS (
   SELECT * EXCLUDE (r) FROM (
@@ -688,6 +726,7 @@ def held_out(*key: str) -> str:
 SQL["knn_approx"] = """
 SELECT vec_id AS query_id, 10::BIGINT AS n_hits, true AS ranks_dense, true AS distances_true, true AS recall_reached
 FROM embeddings WHERE vec_id % 50 = 0"""
+SQL["knn_index"] = SQL["knn_approx"].replace("true AS recall_reached", "true AS recall_reached, true AS few_compared")
 SQL["hashing_embed_search"] = """
 SELECT item_id AS query_id, 5::BIGINT AS n_hits, true AS ranks_dense, true AS distances_true FROM benchmark"""
 SQL["text_search"] = """
@@ -706,6 +745,13 @@ _SIZE = "CASE WHEN n_chars < 500 THEN 0 WHEN n_chars < 2000 THEN 1 ELSE 2 END"
 SQL["fit_score_forest"] = "SELECT doc_id, quality AS target, true AS is_probability, true AS learned" + _GRADED
 SQL["fit_score_multiclass"] = f"SELECT doc_id, {_SIZE} AS target, true AS learned" + _GRADED
 SQL["fit_score_perceptron"] = SQL["fit_score_multiclass"]
+_HOUSE_ROWS = "WITH" + HOUSE.split(",\nratios AS")[0]
+_HELD_LINES = f"FROM house WHERE {held_out(*_LINE.split(', '))}"
+SQL["boost_value"] = f"{_HOUSE_ROWS} SELECT {_LINE}, {rnd('target')} AS target, true AS learned {_HELD_LINES}"
+SQL["boost_high_value"] = f"""{_HOUSE_ROWS}
+SELECT {_LINE}, (target > 2.5)::INTEGER AS target, true AS is_probability, true AS at_threshold, true AS learned {_HELD_LINES}"""
+SQL["boost_value_class"] = f"""{_HOUSE_ROWS}
+SELECT {_LINE}, CASE WHEN target < 1.5 THEN 0 WHEN target < 3.5 THEN 1 ELSE 2 END AS target, true AS sums_to_one, true AS learned {_HELD_LINES}"""
 SQL["fit_score_regressor"] = "WITH" + HOUSE.split(",\nratios AS")[0] + f"""
 SELECT {_LINE}, {rnd("target")} AS target, true AS residual_true, true AS learned FROM house WHERE {held_out(*_LINE.split(", "))}"""
 SQL["linkage_model"] = """

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from loomline.functions import scalar as S
 from loomline.operators import (
     asof,
+    boosting,
     interactions,
     metrics,
     models,
@@ -23,6 +24,7 @@ from loomline.operators import (
     sessions,
     splits,
     tabular,
+    vector_index,
 )
 from loomline.operators.asof import FeatureView
 from loomline.operators.groups import checkpointed, ensure_checkpoint_dir, lookup_join
@@ -164,6 +166,33 @@ def linkage_window_candidates(spark, sf_dir):
     return rounded(pairs.linkage_features(df).select("a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES))
 
 
+BLOCK_KEYS = ["device_fingerprint", "ip_bucket", "user_id"]
+
+
+@query
+def linkage_multi_block(spark, sf_dir):
+    """All pairs of events of different sessions within two hours that share fingerprint, ip bucket or user, each once."""
+    observed, _ = linkage_parts(spark, sf_dir)
+    df = pairs.blocked_candidates(
+        observed, BLOCK_KEYS, pairs.LINKAGE_COLUMNS, within=timedelta(hours=2), across="session_id"
+    )
+    return rounded(pairs.linkage_features(df).select("a_event_id", "b_event_id", *pairs.LINKAGE_FEATURES))
+
+
+@query
+def linkage_pruned_blocks(spark, sf_dir):
+    """Pairs that share a block of at most 2,000 comparisons, with no limit of time."""
+    observed, _ = linkage_parts(spark, sf_dir)
+    return pairs.blocked_candidates(observed, ["session_id", *BLOCK_KEYS], ["event_id"], max_comparisons=2_000)
+
+
+@query
+def block_weights(spark, sf_dir):
+    """Blocks, their largest size and comparisons per blocking key, and what a limit of 2,000 comparisons keeps."""
+    observed, _ = linkage_parts(spark, sf_dir)
+    return pairs.block_report(observed, ["session_id", *BLOCK_KEYS], 2_000)
+
+
 def matcher_parts(spark, sf_dir):
     offers = checkpointed(shapes.offerings(spark, sf_dir))
     truth = offers.select("catalog_id", "true_canonical_id", "true_category_path")
@@ -220,6 +249,28 @@ def asof_features_ttl(spark, sf_dir):
     return asof.as_of_join(entities, views, feature_ts="view_ts")
 
 
+VIEW_TTL = {"page_view": timedelta(days=1), "click": timedelta(days=7), "add_to_cart": None, "checkout": timedelta(hours=6)}
+
+
+def views_by_type(events):
+    """A view per kind of event, keyed by user; of events at one time the one with the larger id was created last."""
+    return [
+        FeatureView(
+            kind, ("true_user_id",), "timestamp", ("value", "event_id"),
+            events.where(F.col("event_type") == kind).select("true_user_id", "timestamp", "value", "event_id"), ttl, "event_id",
+        )
+        for kind, ttl in VIEW_TTL.items()
+    ]
+
+
+@query
+def asof_many_views(spark, sf_dir):
+    """Every conversion with the last event of four kinds, each view with its own time to live, in one pass."""
+    events = shapes.clickstream(spark, sf_dir)
+    refs = [f"{kind}:{c}" for kind in VIEW_TTL for c in ("value", "event_id")]
+    return asof.historical_features(conversions(events), views_by_type(events), refs, full_names=True)
+
+
 @query
 def latest_features(spark, sf_dir):
     return asof.latest_rows(view_of_page_views(shapes.clickstream(spark, sf_dir, ["page_view"])))
@@ -380,6 +431,22 @@ def knn_approx(spark, sf_dir):
     return facts.crossJoin(F.broadcast(recall.select((F.col("recall") >= 0.9).alias("recall_reached"))))
 
 
+@query
+def knn_index(spark, sf_dir):
+    """A stored and reloaded index asked with every fiftieth vector: true distances, at least 0.9 of the exact hits,
+    and at most a quarter of the items compared with their full vectors."""
+    items, folder = vectors(spark, sf_dir), scratch_folder(spark)
+    asked = checkpointed(items.where("item_id % 50 = 0").select(F.col("item_id").alias("query_id"), "embedding"))
+    vector_index.write_index(items, vector_index.fit_index(items, 32), folder)
+    index, model = vector_index.load_index(spark, folder)
+    hits = checkpointed(vector_index.search_index(index, model, asked, 10, n_probe=24, rerank=100))
+    recall = retrieval.recall_against(retrieval.nearest(items, asked, 10), hits)
+    near = vector_index.candidates(index, model, asked, 24, 100)
+    few = near.agg((F.count(F.lit(1)) * 4 <= items.count() * F.count_distinct("query_id")).alias("few_compared"))
+    facts = hit_facts(hits, items, asked, 10)
+    return facts.crossJoin(F.broadcast(recall.select((F.col("recall") >= 0.9).alias("recall_reached")))).crossJoin(F.broadcast(few))
+
+
 @query
 def hashing_embed_search(spark, sf_dir):
     """Benchmark passages searched among the documents by hashed word vectors: facts of each one's hits."""
@@ -695,6 +762,48 @@ def fit_score_regressor(spark, sf_dir):
     return with_learned(rounded(left.select(*LINE_KEY, "target", right.alias("residual_true"))), scored, definition, 0.5)
 
 
+#: Few rounds of large steps for the registered queries.
+FEW_ROUNDS = {"max_iter": 8, "learning_rate": 0.4, "max_leaf_nodes": 31, "l2_regularization": 0.1}
+HOUSE_FEATURES = ["MedInc", "HouseAge", "AveRooms", "AveBedrms", "Population", "AveOccup", "Latitude", "Longitude"]
+
+
+def boosted_lines(spark, sf_dir, target, task=None):
+    """A boosted model of the training lines for an expression of their value, and the held-out lines."""
+    df = shapes.housing(spark, sf_dir).select(*LINE_KEY, *HOUSE_FEATURES, F.expr(target).alias("target"))
+    train, test = splits.train_test(df, LINE_KEY)
+    return boosting.fit_boosted(train, HOUSE_FEATURES, params=FEW_ROUNDS, task=task), test
+
+
+@query
+def boost_value(spark, sf_dir):
+    """Line values by boosted trees with a leaf limit and L2: held-out lines, R2 of 0.95 or more."""
+    model, test = boosted_lines(spark, sf_dir, "target", "regression")
+    scored = checkpointed(model.transform(test).select(*LINE_KEY, "target", "prediction"))
+    report = metrics.regression_report(scored, "target", "prediction").select((F.col("validation_r2") >= 0.95).alias("learned"))
+    return rounded(scored.select(*LINE_KEY, "target")).crossJoin(F.broadcast(report))
+
+
+@query
+def boost_high_value(spark, sf_dir):
+    """Lines of a value over 2.5 by boosted trees: held-out lines, AUC of 0.98 or more."""
+    model, test = boosted_lines(spark, sf_dir, "int(target > 2.5)")
+    scored = checkpointed(model.transform(test).select(*LINE_KEY, "target", "probability", "prediction"))
+    report = metrics.roc_auc(scored, "target", "probability").select((F.col("auc") >= 0.98).alias("learned"))
+    decided = F.col("prediction") == (F.col("probability") >= 0.5).cast("double")
+    out = scored.select(*LINE_KEY, "target", is_probability().alias("is_probability"), decided.alias("at_threshold"))
+    return out.crossJoin(F.broadcast(report))
+
+
+@query
+def boost_value_class(spark, sf_dir):
+    """Three classes of line value by one softmax model: held-out lines, log loss of 0.3 or less."""
+    model, test = boosted_lines(spark, sf_dir, "CASE WHEN target < 1.5 THEN 0 WHEN target < 3.5 THEN 1 ELSE 2 END")
+    scored = checkpointed(model.transform(test).select(*LINE_KEY, "target", "probabilities", "prediction"))
+    loss = scored.agg(F.avg(-F.log(F.get("probabilities", F.col("target")))).alias("loss")).select((F.col("loss") <= 0.3).alias("learned"))
+    whole = F.abs(F.aggregate("probabilities", F.lit(0.0), lambda t, p: t + p) - 1.0) <= 1e-9
+    return scored.select(*LINE_KEY, "target", whole.alias("sums_to_one")).crossJoin(F.broadcast(loss))
+
+
 class GradedClasses(GradedDocument):
     """Three classes, one boosted model per class."""
 

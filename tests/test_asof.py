@@ -87,3 +87,41 @@ def test_view_and_entities_from_files(spark, tmp_path):
     spark.createDataFrame([(1, D + timedelta(days=365), 1)], "signal_id long, event_timestamp timestamp, target int").write.parquet(f"{tmp_path}/l")
     labels = read_entities(spark, f"{tmp_path}/l", ["signal_id"])
     assert [(r["target"], r["f0"], r["f1"]) for r in as_of_join(labels, v).collect()] == [(1, 0.5, 3.0)]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_many_views_in_one_pass(spark, asked, grouping):
+    """Four views with their own time to live and tie-break equal four single passes, in one exchange."""
+    first = view(spark)
+    again = spark.createDataFrame(
+        [("a", D, 1.0, 1), ("a", D, 2.0, 3), ("a", D, 3.0, 2), ("a", D, 9.0, None), ("b", D, 4.0, 1)],
+        "k string, at timestamp_ntz, y double, made int",
+    )
+    views = [
+        first, FeatureView("w", ("k",), "at", ("x",), first.source, None),
+        FeatureView("t", ("k",), "at", ("y",), again, timedelta(days=4), "made"),
+        FeatureView("u", ("k",), "at", ("x",), first.source, timedelta(seconds=1)),
+    ]
+    refs = ["v:x", "w:x", "t:y", "u:x"]
+    both = historical_features(asked, views, refs, full_names=True)
+    passes = exchanges(both)  # of the plan before it runs
+    want = None
+    for v in views:
+        one = {r.id: r[v.features[0]] for r in as_of_join(asked, v).collect()}
+        want = {i: (*(want[i] if want else ()), x) for i, x in one.items()}
+    assert {r.id: (r.v__x, r.w__x, r.t__y, r.u__x) for r in both.collect()} == want
+    assert want[2] == (1.0, 1.0, 2.0, 1.0) and want[4] == (None, 2.0, 2.0, None) and want[8] == (None,) * 4
+    if grouping == "plain":
+        assert passes == 1
+
+
+def test_views_with_clashing_features_need_full_names(spark, asked):
+    views = [view(spark), FeatureView("w", ("k",), "at", ("x",), view(spark).source)]
+    with pytest.raises(ValueError, match="several columns"):
+        historical_features(asked, views, ["v:x", "w:x"])
+    wrong = FeatureView("z", ("id",), "at", ("x",), spark.createDataFrame([(1, D, 1.0)], "id int, at timestamp_ntz, x double"))
+    out = historical_features(asked, [view(spark), wrong], ["v:x", "z:x"], full_names=True)
+    assert {r.id: r.z__x for r in out.collect()} == {1: None, 2: 1.0} | {i: None for i in range(3, 10)} | {1: None}
