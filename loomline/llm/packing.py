@@ -22,6 +22,8 @@ from __future__ import annotations
 import bisect
 import heapq
 import os
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,65 +31,139 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.text import checkpointed, small_partitions
+from loomline.llm.text import Slice, checkpointed, hash_ranges, slices, small_partitions
 
 CAPACITY, END = 2048, 0
 TOKENIZER = "byte_bpe_50k.json"
 # Pieces that a task packs together.
 GROUP = 16_384
-# Token strings that a task keeps with their ids, and the longest string worth keeping.
-HELD, HELD_CHARS = 200_000, 40
+# Stretches that a worker keeps with their ids (twice as many at most), and the longest one worth keeping, in bytes.
+HELD, HELD_BYTES = 500_000, 40
+# Text bytes whose stretches are looked up together.
+TOGETHER = 4 << 20
+
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Bytes that may begin something blank, so that no text is cut before a space in front of them.
+_MAYBE_BLANK = np.zeros(256, dtype=bool)
+_MAYBE_BLANK[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def byte_letters() -> dict[int, str]:
+    """The character by which a byte-level tokenizer names each byte: itself if visible, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(seen)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def stretches(s: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all stretches of a slice, and which are a run of letters (after a space or not).
+
+    A stretch begins with a text, at a space that something visible follows, and where a run
+    of letters (ASCII and Latin-1) meets any other ASCII character: a byte-level tokenizer's first step
+    ends a piece there whatever is around.
+    """
+    data, size = s.data, len(s.data)
+    letter = _ASCII_LETTER[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # the signs of multiplication and division
+    letter[lead] = letter[lead + 1] = True
+    start = np.zeros(size, dtype=bool)
+    space = np.flatnonzero(data[:-1] == 32)
+    start[space[~_MAYBE_BLANK[data[space + 1]]]] = True
+    start[1:] |= letter[:-1] & ~letter[1:] & (data[1:] < 128)
+    begins = s.offsets[:-1][np.diff(s.offsets) > 0]
+    start[s.offsets[1:-1][s.offsets[1:-1] < size] - 1] &= ~(data[s.offsets[1:-1][s.offsets[1:-1] < size] - 1] == 32)
+    start[begins] = True
+    starts = np.flatnonzero(start)
+    other = np.concatenate([[0], np.cumsum(~letter)])
+    ends = np.append(starts[1:], size)
+    run = (other[ends] - other[starts + (data[starts] == 32)] == 0) & (ends - starts > (data[starts] == 32))
+    return starts, run
 
 
 class Ids:
-    """Token ids of texts, by the tokenizer file at ``path``.
+    """Token ids of texts, by the byte-level tokenizer file at ``path``.
 
-    A byte-level tokenizer never joins across a space that a visible character follows, so a
-    text is cut there and the ids of short stretches are kept; the tokenizer sees each
-    stretch as it would inside the whole text.
+    Texts are cut into stretches that have the same ids alone as inside the text; every
+    different stretch is tokenized once and kept by its 64-bit hash. A run of letters is one piece
+    of the tokenizer's first step and goes straight to its merges. Texts that hold one of the
+    tokenizer's special tokens are tokenized whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.held: dict[str, bytes] = {}
-
-    def _encode(self, stretches: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        out, last = [], ""
-        for i, part in enumerate(text.split(" ")):
-            if i == 0:
-                last = part
-            elif part and not part[0].isspace():
-                if last:
-                    out.append(last)
-                last = " " + part
-            else:
-                last += " " + part
-        if last:
-            out.append(last)
-        return out
-
-    def __call__(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        parts, held = self.stretches(text), self.held
-        missing = list({p for p in parts if p not in held})
-        long = {}
-        if missing:
-            if len(held) + len(missing) > HELD:
-                held.clear()
-                missing = list(set(parts))
-            for p, ids in zip(missing, self._encode(missing)):
-                if len(p) <= HELD_CHARS:
-                    held[p] = ids
-                else:
-                    long[p] = ids
-        return b"".join([held[p] if p in held else long[p] for p in parts])
+        self.kind, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
+        self.held: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def encoded(self, text: bytes) -> bytes:
+        return self.pack(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+
+    def merged(self, run: bytes) -> bytes:
+        named = run.decode("latin-1").translate(self.letters)
+        return self.pack([t.id for t in self.tokenizer.model.tokenize(named)])
+
+    def lookup(self, hashes: list[int], raw: bytes, starts: list[int], ends: list[int], run: list[bool]) -> list[bytes]:
+        found = list(map(self.held.get, hashes))
+        for i, ids in enumerate(found):
+            if ids is None:
+                h = hashes[i]
+                ids = self.older.get(h)
+                if ids is None:
+                    text = raw[starts[i] : ends[i]]
+                    ids = self.merged(text) if run[i] else self.encoded(text)
+                if ends[i] - starts[i] <= HELD_BYTES:
+                    self.held[h] = ids
+                found[i] = ids
+        if len(self.held) > HELD:
+            self.held, self.older = {}, self.held
+        return found
+
+    def texts(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids, as little-endian unsigned integers of ``kind``, of every text of an Arrow column (null: empty)."""
+        for s in slices(column, TOGETHER):
+            raw = s.data.tobytes()
+            if not raw:
+                yield from [b""] * s.n
+                continue
+            starts, run = stretches(s)
+            ends = np.append(starts[1:], len(raw))
+            hashes, first, code = np.unique(hash_ranges(s.data, starts, ends), return_index=True, return_inverse=True)
+            found = self.lookup(hashes.tolist(), raw, starts[first].tolist(), ends[first].tolist(), run[first].tolist())
+            ids = np.frombuffer(b"".join(found), self.kind)
+            length = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+            begin = np.cumsum(length) - length
+            bounds = np.searchsorted(starts, s.offsets)
+            special = [any(t in raw for t in self.special)] * s.n
+            for row in range(s.n):
+                lo, hi = s.offsets[row], s.offsets[row + 1]
+                if special[row] and any(t in raw[lo:hi] for t in self.special):
+                    yield self.encoded(raw[lo:hi])
+                    continue
+                mine = code[bounds[row] : bounds[row + 1]]
+                n = length[mine]
+                places = np.repeat(begin[mine] - (np.cumsum(n) - n), n)
+                places += np.arange(len(places))
+                yield ids[places].tobytes()
+
+
+_WORKERS: dict[str, Ids] = {}
+
+
+def worker_ids(path: str) -> Ids:
+    """This worker's tokenizer for ``path``; its kept stretches serve all tasks of the worker."""
+    if path not in _WORKERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _WORKERS[path] = Ids(path)
+    return _WORKERS[path]
 
 
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -97,18 +173,17 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(path: str, capacity: int, end: int):
-    last = np.array([end], dtype="<u4").tobytes()
-
     def split(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids_of = Ids(path)
+        ids_of = worker_ids(path)
+        last = np.array([end], dtype=ids_of.kind).tobytes()
+        width = len(last)
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ids_of(text.as_py() or "") + last
-                for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    own = ids[4 * start : 4 * (start + length)]
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_of.texts(batch.column(1))):
+                ids += last
+                for number, (start, length) in enumerate(cut(len(ids) // width, capacity)):
+                    own = ids[width * start : width * (start + length)]
                     rows.append((doc, number, start, length, own))
                     size += len(own)
                 if size > 1 << 24:
@@ -119,6 +194,17 @@ def _pieces(path: str, capacity: int, end: int):
     return split
 
 
+def _widened(batches):
+    """Ids of two bytes as ids of four."""
+    for batch in batches:
+        lengths, ids = batch.column(batch.schema.get_field_index("length")), batch.column(batch.schema.get_field_index("ids"))
+        wide = [
+            x.as_py() if len(x.as_py()) == 4 * n else np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes()
+            for x, n in zip(ids, lengths.to_pylist())
+        ]
+        yield batch.set_column(batch.schema.get_field_index("ids"), "ids", pa.array(wide, pa.binary()))
+
+
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
 
@@ -130,7 +216,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: the pieces of every document with their token ids.
 
-    ``ids`` are little-endian unsigned 32-bit integers; ``path`` must be readable by every worker.
+    ``ids`` are little-endian unsigned integers, of two bytes if the vocabulary allows it, else
+    of four; ``path`` must be readable by every worker.
     """
     return small_partitions(docs).select("doc_id", "text").mapInArrow(
         _pieces(path, capacity, end), "doc_id bigint, piece int, start bigint, length bigint, ids binary"
@@ -349,7 +436,11 @@ def placed(lengths: DataFrame, capacity: int = CAPACITY, group: int = GROUP) ->
 
 
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, group: int = GROUP) -> DataFrame:
-    """``(doc_id, piece, start, length, ids, sequence_id, offset)`` of every piece."""
+    """``(doc_id, piece, start, length, ids, sequence_id, offset)`` of every piece; ``ids`` are of four bytes each.
+
+    Pieces are stored and shuffled with ids of two bytes where the vocabulary allows it.
+    """
     pieces = checkpointed(tokenized(docs, path, capacity, end).select(F.monotonically_increasing_id().alias("row"), "*"))
     places = placed(pieces.select("row", "length"), capacity, group)
-    return pieces.join(places, "row").drop("row")
+    met = pieces.join(places, "row").drop("row")
+    return met.mapInArrow(_widened, met.schema)

@@ -1,5 +1,4 @@
 import random
-import zlib
 
 import numpy as np
 import public_tokenizers
@@ -44,7 +43,6 @@ def test_pieces_match_the_tokenizer(spark):
     got = [(r.doc_id, r.piece, r.start, r.length, bytes(r.ids)) for r in found]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     check([(r.length, r.sequence_id, r.offset) for r in found], 256)
-    assert all(zlib.crc32(w[4]) >= 0 for w in want)
 
 
 KINDS = {
@@ -62,7 +60,7 @@ def test_search_never_needs_more_bins_than_best_fit(kind):
     assert fills.max() <= 2048 and fills.sum() == sum(lengths)
     bins = len(set(number.tolist()))
     assert packing.fewest(lengths, 2048) <= bins <= len(packing.best_fit(lengths, 2048))
-    if kind in ("log", "tiny", "large", "one"):
+    if kind in ("log", "tiny", "large"):
         assert bins <= packing.fewest(lengths, 2048) + 1
 
 
@@ -115,7 +113,9 @@ def test_groups_meet_in_later_rounds(spark):
     found = packing.placed(rows, group=200).collect()
     assert sorted(r.row for r in found) == list(range(len(lengths)))
     bins = check([(lengths[r.row], r.sequence_id, r.offset) for r in found], 2048)
-    assert bins <= -(-sum(lengths) // 2048) + 2
+    assert bins <= 1.01 * sum(lengths) / 2048
+    whole = check([(lengths[r.row], r.sequence_id, r.offset) for r in packing.placed(rows).collect()], 2048)
+    assert whole <= -(-sum(lengths) // 2048) + 2
 
 
 def test_hot_copies_and_empty_table(spark):
