@@ -2,7 +2,7 @@
 
 The vectors are stored once, each with a byte per dimension that names the cell its component
 falls in. A round reads the cells only: per dimension a table gives, for every cell and
-centroid, the least and greatest squared difference, and their sums bound the distance to
+centroid, the least and greatest share in their distance, and their sums bound the distance to
 every centroid. A vector needs a look only if these intervals leave more than one centroid
 open, or if it moves; only these full vectors are fetched, and only from the bands (partitions
 by how clearly the first round decided) that hold any. Cluster sums are kept on the driver
@@ -36,7 +36,7 @@ K, ROUNDS, DIMENSIONS, SEED = 8, 10, 64, 3
 # Integers per unit of a component, and the bound of an integer.
 SCALE, LIMIT = 1024, 1 << 27
 # Bits of a cell: at most eight.
-BITS = 6
+BITS = 8
 # Bands by the share of the distance that decides between the two nearest first centroids.
 BANDS, BAND_WIDTH = 8, 0.02
 # Vectors that a task works on at once.
@@ -96,11 +96,11 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The ``k`` vectors with the smallest hash, in its order."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     rows = vectors.orderBy(key, "x").limit(k).collect()
-    return np.array([np.frombuffer(r.x, dtype="<i4") for r in rows], dtype=np.int64).reshape(len(rows), -1)
+    return np.array([np.frombuffer(r.x, dtype="<i4") for r in rows], dtype=np.int64)
 
 
-def cell_edges(vectors: DataFrame, bits: int) -> np.ndarray | None:
-    """Edges ``(dimensions, cells + 1)``: the range of every dimension, cut evenly over three deviations.
+def cell_edges(vectors: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges ``(dimensions, cells + 1)``, the range of every dimension cut evenly over three deviations, and the middle.
 
     Cell ``j`` holds integers from ``edges[j]`` up to, not including, ``edges[j + 1]``.
     """
@@ -119,16 +119,14 @@ def cell_edges(vectors: DataFrame, bits: int) -> np.ndarray | None:
 
     parts = vectors.select("x").mapInArrow(moments, "d bigint, n bigint, least bigint, most bigint, s double, ss double")
     rows = parts.groupBy("d").agg(F.sum("n"), F.min("least"), F.max("most"), F.sum("s"), F.sum("ss")).orderBy("d").collect()
-    if not rows:
-        return None
     cells = 1 << bits
-    edges = np.empty((len(rows), cells + 1), np.int64)
+    edges, middle = np.empty((len(rows), cells + 1), np.int64), np.empty(len(rows), np.int64)
     for d, n, least, most, s, ss in rows:
         mean, deviation = s / n, max(ss / n - (s / n) ** 2, 0.0) ** 0.5
         inner = np.floor(mean + deviation * np.linspace(-3, 3, cells - 1)).astype(np.int64)
-        edges[d, 0], edges[d, -1] = least, most + 1
+        edges[d, 0], edges[d, -1], middle[d] = least, most + 1, round(mean)
         edges[d, 1:-1] = np.clip(inner, least, most + 1)
-    return edges
+    return edges, middle
 
 
 def cells_of(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -138,17 +136,20 @@ def cells_of(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def interval_tables(edges: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """``(dimensions, cells, 2k)``: least, then greatest squared difference of a cell to each centroid."""
-    low, high = edges[:, :-1, None], edges[:, 1:, None] - 1
-    c = centroids.T[:, None, :]
-    near = np.where(c < low, low - c, np.where(c > high, c - high, 0))
-    far = np.maximum(np.abs(c - low), np.abs(c - high))
-    return np.concatenate([near**2, far**2], axis=2)
+def interval_tables(edges: np.ndarray, middle: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """``(dimensions, cells, 2k)``: a cell's least, then its greatest share in the distance to each centroid.
+
+    Shares leave out the vector's own squared length from the middle, which all its distances
+    have in common: what is left, ``c * c - 2 * x * c``, varies far less inside a cell.
+    """
+    low, high = (edges[:, :-1] - middle[:, None])[:, :, None], (edges[:, 1:] - 1 - middle[:, None])[:, :, None]
+    c = (centroids - middle).T[:, None, :]
+    ends = c * c - 2 * low * c, c * c - 2 * high * c
+    return np.concatenate([np.minimum(*ends), np.maximum(*ends)], axis=2)
 
 
 def intervals(cells: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """``(n, 2k)``: bounds of the squared distances, least ones first."""
+    """``(n, 2k)``: bounds of the distances less what they have in common, least ones first."""
     out = np.zeros((len(cells), tables.shape[2]), np.int64)
     for d in range(cells.shape[1]):
         out += tables[d].take(cells[:, d], axis=0)
@@ -240,7 +241,7 @@ def cluster(
     if not len(centroids):
         return None
     k = len(centroids)
-    edges = cell_edges(source, bits)
+    edges, middle = cell_edges(source, bits)
     spark = embeddings.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/loomline/{uuid.uuid4().hex}"
     placed = source.mapInArrow(_placed(edges, centroids), "vec_id bigint, x binary, cells binary, first int, band int")
@@ -258,7 +259,7 @@ def cluster(
     for _ in range(rounds - 1):
         if (last == centroids).all():
             break  # every further round gives the same
-        need = checkpointed(stored.select("row", "band", "cells").mapInArrow(_open(edges, last, centroids), "row bigint, band int"))
+        need = checkpointed(stored.select("row", "band", "cells").mapInArrow(_open(edges, middle, last, centroids), "row bigint, band int"))
         bands = [(r.band, r.n) for r in need.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()]
         out.fetched.append(sum(n for _, n in bands))
         full = stored.where(F.col("band").isin([b for b, _ in bands])).select("row", "x")
@@ -270,9 +271,9 @@ def cluster(
     return out
 
 
-def _open(edges: np.ndarray, last: np.ndarray, present: np.ndarray):
+def _open(edges: np.ndarray, middle: np.ndarray, last: np.ndarray, present: np.ndarray):
     """Rows whose intervals overlap under either centroids, or that move from one cluster to another."""
-    tables = np.concatenate([interval_tables(edges, last), interval_tables(edges, present)], axis=2)
+    tables = np.concatenate([interval_tables(edges, middle, c) for c in (last, present)], axis=2)
     width = 2 * len(last)
 
     def look(batches):
