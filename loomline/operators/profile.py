@@ -110,6 +110,86 @@ def hashed_features(df: DataFrame, columns: Sequence[str], dim: int) -> DataFram
 
 # --- drift and boundaries ------------------------------------------------------------------
 
+# Accuracy of quantile sketches: the rank of a value is off by about 1 / SKETCH_K of all rows.
+SKETCH_K = 2048
+
+
+def quantile_sketches(df: DataFrame, columns: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """``(column, n_rows, n_null, sketch)``: what a table's numeric columns look like, in one pass.
+
+    Null and NaN count as null. The rows are small and can be stored, read by another job and
+    merged with those of other tables (``merged_sketches``): no value is read twice. A sketch
+    gives ranks within about ``1.5 / k`` of all rows (0.1 % as it is) for 99 of 100 columns.
+    """
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i, c in enumerate(columns):
+        aggs += [F.count(value[c]).alias(f"n{i}"), F.kll_sketch_agg_double(value[c], F.lit(k)).alias(f"s{i}")]
+    row = df.agg(*aggs)
+    each = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("n_rows"), (F.col("n_rows") - F.col(f"n{i}")).alias("n_null"), F.col(f"s{i}").alias("sketch"))
+        for i, c in enumerate(columns)
+    ])
+    return row.select(F.inline(each))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """Sketches of several tables as those of all their rows."""
+    return sketches.groupBy("column").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+
+
+def sketch_bins(sketches: DataFrame, bins: int = 10) -> list[tuple[str, list[float], list[float]]]:
+    """Per column its name, inner edges at equal shares of the rows, and the shares of the rows up to each edge,
+    beyond the last, and null."""
+    stored = checkpointed(sketches)
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    cut = F.when(F.col("n_rows") > F.col("n_null"), F.array_distinct(F.kll_sketch_get_quantile_double("sketch", probs)))
+    told = stored.select("column", "n_rows", "n_null", cut.alias("edges")).collect()  # one row per column
+    ranks = None
+    for r in told:
+        if r.edges:  # the ranks of these very edges: several may share a value
+            upto = F.kll_sketch_get_rank_double("sketch", F.array(*[F.lit(e) for e in r.edges]))
+            one = stored.where(F.col("column") == r["column"]).select("column", upto.alias("ranks"))
+            ranks = one if ranks is None else ranks.unionByName(one)
+    known = {r["column"]: r.ranks for r in ranks.collect()} if ranks is not None else {}
+    out = []
+    for r in told:
+        upto = [0.0, *known.get(r["column"], []), 1.0]
+        filled = 1.0 - r.n_null / r.n_rows if r.n_rows else 0.0
+        out.append((r["column"], list(r.edges or []), [(b - a) * filled for a, b in zip(upto, upto[1:])] + [1.0 - filled]))
+    return out
+
+
+def drift_numeric(base: DataFrame, current: DataFrame, bins: int = 10, floor: float = 1e-6) -> DataFrame:
+    """``(column, psi, kl, n_bins)`` of numeric columns against the stored sketches of another table.
+
+    All columns are counted in one pass over ``current``: each value's bin by the base's
+    quantiles (nulls have one of their own), summed map-side. Shares are floored so that an
+    empty bin stays finite.
+    """
+    told = sketch_bins(base, bins)
+    if not told:
+        return current.sparkSession.createDataFrame([], "column string, psi double, kl double, n_bins int")
+    places = []
+    for i, (column, edges, _) in enumerate(told):
+        x = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+        place = F.lit(len(edges))
+        for j, e in reversed(list(enumerate(edges))):
+            place = F.when(x <= e, j).otherwise(place)
+        places.append(F.struct(F.lit(i).alias("i"), F.when(x.isNull(), len(edges) + 1).otherwise(place).alias("bin")))
+    seen = current.select(F.inline(F.array(*places))).groupBy("i", "bin").agg(F.count(F.lit(1)).alias("n"))
+    shares = [(i, column, b, float(v)) for i, (column, _, shares) in enumerate(told) for b, v in enumerate(shares)]
+    want = current.sparkSession.createDataFrame(shares, "i int, column string, bin int, p double")
+    total = seen.where("i = 0").agg(F.sum("n").alias("n_all"))
+    met = want.join(seen, ["i", "bin"], "left").crossJoin(F.broadcast(total))  # bins x columns rows
+    p, q = F.greatest("p", F.lit(floor)), F.greatest(F.coalesce(F.col("n") / F.col("n_all"), F.lit(0.0)), F.lit(floor))
+    return met.groupBy("column").agg(
+        F.sum((q - p) * F.log(q / p)).alias("psi"), F.sum(q * F.log(q / p)).alias("kl"), F.count(F.lit(1)).cast("int").alias("n_bins")
+    )
+
+
 def drift(base: DataFrame, current: DataFrame, column: str, floor: float = 1e-6) -> DataFrame:
     """Population stability index and KL divergence of a categorical or bucketed column.
 

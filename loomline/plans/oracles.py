@@ -605,6 +605,11 @@ shares AS (
   FROM (SELECT event_type, count(*) AS a FROM ev WHERE user_id IS NOT NULL GROUP BY 1)
   FULL JOIN (SELECT event_type, count(*) AS b FROM ev WHERE user_id IS NULL GROUP BY 1) USING (event_type))
 SELECT {rnd('sum((q - p) * ln(q / p))')} AS psi, {rnd('sum(q * ln(q / p))')} AS kl, count(*) AS n_values FROM shares"""
+SQL["drift_numeric"] = """
+SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS column, unnest([true, false, false, false]) AS drifted, true AS kl_positive"""
+SQL["fingerprint_parts"] = """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE l_returnflag <> 'R') AS n_rest, true AS added, true AS taken_out, true AS differ FROM lineitem"""
+SQL["implicit_ranking"] = "SELECT true AS learned, true AS beats_popularity"
 SQL["boundary_checks"] = "WITH" + EV + """
 SELECT unnest(['known_referrer', 'has_ip', 'positive_value', 'known_type']) AS rule, unnest([a, b, c, d]) AS n_bad, n AS n_rows
 FROM (SELECT count(*) FILTER (WHERE referrer IS NULL OR referrer = 'bing') AS a, count(*) FILTER (WHERE ip_bucket IS NULL) AS b,
@@ -747,6 +752,8 @@ SQL["fit_score_multiclass"] = f"SELECT doc_id, {_SIZE} AS target, true AS learne
 SQL["fit_score_perceptron"] = SQL["fit_score_multiclass"]
 _HOUSE_ROWS = "WITH" + HOUSE.split(",\nratios AS")[0]
 _HELD_LINES = f"FROM house WHERE {held_out(*_LINE.split(', '))}"
+SQL["network_value_class"] = f"""{_HOUSE_ROWS}
+SELECT {_LINE}, CASE WHEN target < 1.5 THEN 0 WHEN target < 3.5 THEN 1 ELSE 2 END AS target, true AS sums_to_one, true AS learned {_HELD_LINES}"""
 SQL["boost_value"] = f"{_HOUSE_ROWS} SELECT {_LINE}, {rnd('target')} AS target, true AS learned {_HELD_LINES}"
 SQL["boost_high_value"] = f"""{_HOUSE_ROWS}
 SELECT {_LINE}, (target > 2.5)::INTEGER AS target, true AS is_probability, true AS at_threshold, true AS learned {_HELD_LINES}"""

@@ -14,9 +14,11 @@ from loomline.functions import scalar as S
 from loomline.operators import (
     asof,
     boosting,
+    factorize,
     interactions,
     metrics,
     models,
+    network,
     pairs,
     profile,
     recommend,
@@ -591,6 +593,37 @@ def drift_psi(spark, sf_dir):
     return rounded(profile.drift(events.where("user_id IS NOT NULL"), events.where("user_id IS NULL"), "event_type"))
 
 
+@query
+def drift_numeric(spark, sf_dir):
+    """Lines of even orders, their quantities a third higher, against merged sketches of the lines of odd orders."""
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = shapes.table(spark, sf_dir, "lineitem").select("l_orderkey", *names)
+    halves = [profile.quantile_sketches(li.where(f"l_orderkey % 4 = {r}"), names) for r in (1, 3)]
+    base = profile.merged_sketches(halves[0].unionByName(halves[1]))
+    current = li.where("l_orderkey % 2 = 0").withColumn("l_quantity", F.col("l_quantity") * 4 / 3)
+    found = profile.drift_numeric(checkpointed(base), current)
+    return found.select("column", (F.col("psi") >= 0.1).alias("drifted"), (F.col("kl") >= 0).alias("kl_positive"))
+
+
+@query
+def fingerprint_parts(spark, sf_dir):
+    """Lines' fingerprint from the states of their return flags: added up, and with one flag taken out again."""
+    li = shapes.table(spark, sf_dir, "lineitem")
+    parts = checkpointed(sinks.multiset_state(li, ["l_returnflag"]))
+    kind = li.schema.simpleString()
+    whole = sinks.state_digest(sinks.merged_states(parts), kind)
+    direct = sinks.state_digest(sinks.multiset_state(li), kind)
+    gone = sinks.negated_state(parts.where("l_returnflag = 'R'"))
+    less = sinks.state_digest(sinks.merged_states(parts.unionByName(gone)), kind)
+    rest = sinks.state_digest(sinks.multiset_state(li.where("l_returnflag <> 'R'")), kind)
+    named = [df.select(F.col("n_rows").alias(f"n{i}"), F.col("dataset_sha256").alias(f"h{i}")) for i, df in enumerate((whole, direct, less, rest))]
+    one = named[0].crossJoin(named[1]).crossJoin(named[2]).crossJoin(named[3])  # one row each
+    return one.select(
+        F.col("n0").alias("n_rows"), F.col("n2").alias("n_rest"), F.expr("h0 = h1 AND n0 = n1").alias("added"),
+        F.expr("h2 = h3 AND n2 = n3").alias("taken_out"), F.expr("h0 <> h2").alias("differ"),
+    )
+
+
 @query
 def boundary_checks(spark, sf_dir):
     rules = {
@@ -804,6 +837,19 @@ def boost_value_class(spark, sf_dir):
     return scored.select(*LINE_KEY, "target", whole.alias("sums_to_one")).crossJoin(F.broadcast(loss))
 
 
+@query
+def network_value_class(spark, sf_dir):
+    """Three classes of line value by a ReLU network with Adam steps: held-out lines, accuracy of 0.85 or more."""
+    classes = F.expr("CASE WHEN target < 1.5 THEN 0 WHEN target < 3.5 THEN 1 ELSE 2 END").alias("target")
+    train, test = splits.train_test(shapes.housing(spark, sf_dir).select(*LINE_KEY, *HOUSE_FEATURES, classes), LINE_KEY)
+    size = max(1024, train.count() // 8)  # eight steps per epoch
+    model = network.fit_network(train, HOUSE_FEATURES, LINE_KEY, 3, params={"epochs": 4, "lr": 0.02, "hidden_dim": 32, "batch_size": size})
+    scored = checkpointed(model.transform(test).select(*LINE_KEY, "target", "probabilities", "prediction"))
+    right = scored.agg((F.avg((F.col("prediction") == F.col("target")).cast("int")) >= 0.85).alias("learned"))
+    whole = F.abs(F.aggregate("probabilities", F.lit(0.0), lambda t, p: t + p) - 1.0) <= 1e-9
+    return scored.select(*LINE_KEY, "target", whole.alias("sums_to_one")).crossJoin(F.broadcast(right))
+
+
 class GradedClasses(GradedDocument):
     """Three classes, one boosted model per class."""
 
@@ -968,6 +1014,29 @@ def als_metrics(spark, sf_dir):
     return report.select("n_entities_evaluated", F.array_min(F.array(*shares)).alias("all_shares"))
 
 
+def structured_interactions(spark, sf_dir):
+    """Purchases of 200 item families by customers who only buy of a tenth of them, so that there is something to learn."""
+    family = F.col("item_id") % 200
+    df = shapes.interactions(spark, sf_dir).withColumn("item_id", family)
+    return interactions.prepare_interactions(df.where(F.col("item_id") % 10 == F.col("user_id") % 10), shapes.RECENCY[:-1])
+
+
+@query
+def implicit_ranking(spark, sf_dir):
+    """The factorization of implicit feedback on structured interactions: hit rate of 0.3 or more, twice the popularity ranking's."""
+    data = structured_interactions(spark, sf_dir)
+    model = factorize.ImplicitFactors.of(*factorize.fit_implicit(data.train, {"factors": 12, "iterations": 4}))
+    rate = []
+    users = data.test.select("user_idx").distinct()
+    for recs in (
+        recommend.recommend(model, users, 10, seen=data.train),
+        recommend.popular_unseen(users, data.train, 10, "user_idx", "item_idx"),
+    ):
+        rate.append(metrics.ranking_metrics(recs, data.test, 10).select("hit_rate_at_10"))
+    both = rate[0].crossJoin(F.broadcast(rate[1].withColumnRenamed("hit_rate_at_10", "popular")))  # one row each
+    return both.select((F.col("hit_rate_at_10") >= 0.3).alias("learned"), (F.col("hit_rate_at_10") >= 2 * F.col("popular")).alias("beats_popularity"))
+
+
 @query
 def recommendation_lists(spark, sf_dir):
     """Served lists by customer id, unseen filter off; customers without a model row get an empty list."""
