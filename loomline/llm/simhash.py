@@ -15,6 +15,11 @@ Those fingerprints, and the ones that ask for such a key, are joined exactly ano
 each sends the 65 words within one bit of it, and two fingerprints are at distance two or
 less exactly when they share one. Everything that shares a word is linked in a chain, so
 the work stays linear however many near copies there are.
+
+``drop_near_copies`` looks wider than two bits of one fingerprint: it finds candidates by
+several independent fingerprints of the words, each by the method above, and verifies the
+similarity of word shingles. Two texts of similarity 0.8 differ in about 4 of 64 bits, so one
+fingerprint finds a part of such pairs only; several together find nearly all.
 """
 
 from __future__ import annotations
@@ -29,11 +34,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import connected
-from loomline.llm.text import checkpointed, sized_broadcast, small_partitions
+from loomline.llm.text import Slice, checkpointed, find_words, hash_ranges, mixed, rolling, sized_broadcast, slices, small_partitions
+from loomline.operators.groups import lookup_join
 
 SHINGLE = 3
 MAX_BITS = 2
 BUCKET = 64
+# Near copies that a pipeline drops: words of a shingle, least similarity, independent fingerprints.
+NEAR_SHINGLE, NEAR_SIMILARITY, RUNS = 5, 0.8, 4
+# Bits by which the fingerprints of a candidate may differ (all within two bits are found, others if they share a key).
+NEAR_BITS = 8
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 # Generator polynomial of the [23, 12] Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -164,11 +174,12 @@ def _chained(prints: DataFrame) -> DataFrame:
     return words.join(least, "word").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
-def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def links(prints: DataFrame, bucket: int = BUCKET, most_bits: int = MAX_BITS) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints that connect all pairs within two bits.
 
     Every verified pair of a key with up to ``bucket`` fingerprints is returned; for fuller
-    keys the edges connect the same fingerprints as all the pairs would.
+    keys the edges connect the same fingerprints as all the pairs would. With ``most_bits``
+    above two, the pairs further apart that happen to share a key come along.
     """
     stored = checkpointed(stored_keys(prints))
     sizes = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -184,7 +195,7 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     s = rest.select("key", F.col("fp").alias("b"))
     found = (
         asked.join(s, "key")
-        .where((F.col("fp") != F.col("b")) & (distance(F.col("fp"), F.col("b")) <= MAX_BITS))
+        .where((F.col("fp") != F.col("b")) & (distance(F.col("fp"), F.col("b")) <= most_bits))
         .select(F.least("fp", "b").alias("a"), F.greatest("fp", "b").alias("b"))
     )
     return (found if exact is None else found.unionByName(exact)).distinct()
@@ -219,10 +230,125 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents whose id names their component: one of each group of near copies stays.
+# -- one document of each group of near copies --------------------------------
+
+
+def word_fingerprints(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBatch]:
+    """``(row, text_hash, fps)`` of ``(row, text)``: a hash of the folded words in order, and ``runs`` fingerprints.
+
+    These are majority bits over the hashes of the different words: an edited word changes one of them,
+    where it changes five shingles of five words.
+    """
+    for batch in batches:
+        for s in slices(batch.column(1)):
+            data = np.where((s.data >= 65) & (s.data <= 90), s.data + 32, s.data).astype(np.uint8)
+            words = find_words(Slice(s.first, data, s.offsets))
+            h = hash_ranges(data, words.starts, words.ends)
+            place = rolling_rows(h, words.bounds)
+            order = np.lexsort((h, words.row))
+            h, row = h[order], words.row[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+            h, row = h[new], row[new]
+            count = np.bincount(row, minlength=s.n)
+            fps = np.zeros((s.n, runs), np.uint64)
+            for run in range(runs):
+                ones = np.zeros((s.n, 64), np.int64)
+                for lo in range(0, len(h), 1 << 15):
+                    part = mixed(h[lo : lo + (1 << 15)] ^ mixed(np.full(1, run + 1, np.uint64)))
+                    bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    mine = row[lo : lo + (1 << 15)]
+                    begin = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+                    ones[mine[begin]] += np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
+                fps[:, run] = np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(s.first, s.n), pa.array(place.view(np.int64)), pa.array(list(fps.view(np.int64)), pa.list_(pa.int64()))],
+                names=["row", "text_hash", "fps"],
+            )
+
+
+def rolling_rows(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """One hash per row of the sequence of its word hashes."""
+    at = np.arange(len(h)) - np.repeat(bounds[:-1], np.diff(bounds))
+    placed = mixed(h + mixed(at.astype(np.uint64)))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(placed, dtype=np.uint64)])
+    return mixed(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
+
+
+def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """``(row, shingles)``: sorted hashes of all runs of ``width`` folded words (fewer words: of all of them)."""
+    for batch in batches:
+        for s in slices(batch.column(1)):
+            data = np.where((s.data >= 65) & (s.data <= 90), s.data + 32, s.data).astype(np.uint8)
+            words = find_words(Slice(s.first, data, s.offsets))
+            h = hash_ranges(data, words.starts, words.ends)
+            sets = []
+            for lo, hi in zip(words.bounds[:-1], words.bounds[1:]):
+                sets.append(np.unique(rolling(h[lo:hi], max(1, min(width, int(hi - lo))))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, s.n), pa.array(sets, pa.binary())], names=["row", "shingles"])
+
+
+def _similar(least: float):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
+                fine.append(both >= least * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
-    A null id joins no component and its row is kept.
+    return keep
+
+
+def near_copy_groups(
+    rows: DataFrame, width: int = NEAR_SHINGLE, least: float = NEAR_SIMILARITY, runs: int = RUNS, bucket: int = BUCKET,
+) -> DataFrame:
+    """``(row, group)`` of the stored ``(row, text)`` for rows that have an equal or near copy; ``group`` is one of its rows.
+
+    Equal texts (words in order, A-Z lower-cased) meet by their hash. Of the others, pairs whose
+    fingerprints meet in any of ``runs`` independent fingerprints (always if they differ in two bits or fewer)
+    are candidates, and a candidate counts if the shingles of ``width`` words have a similarity of ``least`` or more.
+    """
+    prints = checkpointed(rows.select("row", F.col("text").cast("string")).mapInArrow(
+        lambda b: word_fingerprints(b, runs), "row bigint, text_hash bigint, fps array<bigint>"
+    ))
+    texts = checkpointed(prints.groupBy("text_hash").agg(F.min("row").alias("row"), F.first("fps").alias("fps"), F.count(F.lit(1)).alias("n")))
+    pairs = None
+    for run in range(runs):
+        members = texts.select(F.get("fps", F.lit(run)).alias("fp"), "row")
+        firsts = checkpointed(members.groupBy("fp").agg(F.min("row").alias("first"), F.max("row").alias("last")))
+        edges = links(firsts.select("fp"), bucket, NEAR_BITS)
+        a, b = (firsts.select(F.col("fp").alias(c), F.col("first").alias(f"row_{c}")) for c in "ab")
+        found = edges.join(a, "a").join(b, "b").select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
+        shared = lookup_join(members, firsts.where("first < last").select("fp", "first"), ["fp"])
+        found = found.unionByName(shared.where("row > first").select(F.col("first").alias("a"), F.col("row").alias("b")))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = checkpointed(pairs.distinct())
+    wanted = checkpointed(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct())
+    sets = checkpointed(rows.join(sized_broadcast(wanted), "row", "left_semi").select("row", F.col("text").cast("string")).mapInArrow(
+        lambda b: shingle_sets(b, width), "row bigint, shingles binary"
+    ))
+    met = lookup_join(lookup_join(pairs, sets.select(F.col("row").alias("a"), F.col("shingles").alias("x")), ["a"]),
+                      sets.select(F.col("row").alias("b"), F.col("shingles").alias("y")), ["b"])
+    near = checkpointed(met.select("a", "b", "x", "y").mapInArrow(_similar(least), "a bigint, b bigint"))
+    joined = checkpointed(connected(near).select(F.col("node").alias("first"), F.col("root").alias("group")))
+    firsts = texts.select("text_hash", F.col("row").alias("first"), "n").join(joined, "first", "left").where("n > 1 or group is not null")
+    named = firsts.select("text_hash", F.coalesce("group", "first").alias("group"))
+    return lookup_join(prints.select("row", "text_hash"), named, ["text_hash"]).select("row", "group")
+
+
+def drop_near_copies(docs: DataFrame, width: int = NEAR_SHINGLE, least: float = NEAR_SIMILARITY, runs: int = RUNS) -> DataFrame:
+    """One row of each group of near copies stays: the one with the smallest id (null ids last, ties: any one row).
+
+    Every row is judged by its text, so rows of one id but different texts are judged apart,
+    and of wholly repeated rows one stays. Blank and null texts are copies of each other. The columns
+    and their order are those of ``docs``.
     """
-    gone = near_copies(docs.where("doc_id is not null")).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(sized_broadcast(checkpointed(gone)), "doc_id", "left_anti")
+    rows = checkpointed(docs.withColumn("_near_row", F.monotonically_increasing_id()))
+    groups = checkpointed(near_copy_groups(rows.select(F.col("_near_row").alias("row"), "text"), width, least, runs))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    ids = rows.select("doc_id", F.col("_near_row").alias("row"))
+    kept = ids.join(groups, "row").groupBy("group").agg(F.min(order).alias("m")).select(F.col("m.row").alias("row"))
+    gone = checkpointed(groups.join(kept, "row", "left_anti").select(F.col("row").alias("_near_row")))
+    return rows.join(sized_broadcast(gone), "_near_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
