@@ -42,6 +42,8 @@ MAX_BITS = 2
 BUCKET = 64
 # Near copies that a pipeline drops: words of a shingle, least similarity, independent fingerprints.
 NEAR_SHINGLE, NEAR_SIMILARITY, RUNS = 5, 0.8, 4
+# Pairs of one row that a task verifies.
+PAIRS_PER_PART = 4096
 # Bits by which the fingerprints of a candidate may differ (all within two bits are found, others if they share a key).
 NEAR_BITS = 8
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -329,8 +331,14 @@ def near_copy_groups(
     sets = checkpointed(rows.join(sized_broadcast(wanted), "row", "left_semi").select("row", F.col("text").cast("string")).mapInArrow(
         lambda b: shingle_sets(b, width), "row bigint, shingles binary"
     ))
-    met = lookup_join(lookup_join(pairs, sets.select(F.col("row").alias("a"), F.col("shingles").alias("x")), ["a"]),
-                      sets.select(F.col("row").alias("b"), F.col("shingles").alias("y")), ["b"])
+    # sets are as large as texts, so they are never broadcast; those of rows in very many pairs are copied to several tasks
+    parts = checkpointed(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_PART).alias("parts")))
+    dealt = lookup_join(pairs, parts, ["a"]).select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    x = lookup_join(sets.withColumnRenamed("row", "a"), parts, ["a"]).select(
+        "a", F.col("shingles").alias("x"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    )
+    y = sets.select(F.col("row").alias("b"), F.col("shingles").alias("y"))
+    met = dealt.join(x, ["a", "part"]).join(y, "b")
     near = checkpointed(met.select("a", "b", "x", "y").mapInArrow(_similar(least), "a bigint, b bigint"))
     joined = checkpointed(connected(near).select(F.col("node").alias("first"), F.col("root").alias("group")))
     firsts = texts.select("text_hash", F.col("row").alias("first"), "n").join(joined, "first", "left").where("n > 1 or group is not null")
