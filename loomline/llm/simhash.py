@@ -41,7 +41,7 @@ SHINGLE = 3
 MAX_BITS = 2
 BUCKET = 64
 # Near copies that a pipeline drops: words of a shingle, least similarity, independent fingerprints.
-NEAR_SHINGLE, NEAR_SIMILARITY, RUNS = 5, 0.8, 4
+NEAR_SHINGLE, NEAR_SIMILARITY, RUNS = 5, 0.8, 3
 # Pairs of one row that a task verifies.
 PAIRS_PER_PART = 4096
 # Bits by which the fingerprints of a candidate may differ (all within two bits are found, others if they share a key).
@@ -325,6 +325,7 @@ def near_copy_groups(
         found = edges.join(a, "a").join(b, "b").select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
         shared = lookup_join(members, firsts.where("first < last").select("fp", "first"), ["fp"])
         found = found.unionByName(shared.where("row > first").select(F.col("first").alias("a"), F.col("row").alias("b")))
+        found = checkpointed(found)  # run after run: one plan of all would hold much of the driver's memory
         pairs = found if pairs is None else pairs.unionByName(found)
     pairs = checkpointed(pairs.distinct())
     wanted = checkpointed(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct())
