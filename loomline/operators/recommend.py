@@ -20,9 +20,15 @@ from loomline.operators.groups import (
     with_position,
 )
 
-# Users or items in a block of factors, and cells of a block's scores that are held at once.
-BLOCK_ROWS = 4096
+# Users or items in a block of factors at most, users of a block at least, and cells of a block's scores held at once.
+# A block is copied to every block of the other side, so what is shuffled falls with the size of blocks.
+BLOCK_ROWS = 1 << 17
+LEAST_ROWS = 4096
 TILE_CELLS = 1 << 22
+# Items scored by one matrix product.
+TILE_ITEMS = 8192
+# Iterations after which the factors are stored and the shuffle files of earlier iterations deleted.
+STORE_EVERY = 2
 # Fixed values.
 ALS_DEFAULTS = {"als_factors": 32, "als_iterations": 10, "als_regularization": 0.01, "als_alpha": 20.0}
 
@@ -35,7 +41,7 @@ def fit_als(train: DataFrame, params: dict | None = None, seed: int = 42) -> ALS
         userCol="user_idx", itemCol="item_idx", ratingCol="weight", implicitPrefs=True,
         rank=int(p["als_factors"]), maxIter=int(p["als_iterations"]),
         regParam=float(p["als_regularization"]), alpha=float(p["als_alpha"]),
-        coldStartStrategy="nan", seed=seed,
+        coldStartStrategy="nan", seed=seed, checkpointInterval=STORE_EVERY,
     )
     return als.fit(train.where("weight <> 0"))
 
@@ -43,19 +49,39 @@ def fit_als(train: DataFrame, params: dict | None = None, seed: int = 42) -> ALS
 def _best_in_block(
     x: np.ndarray, ids: np.ndarray, y: np.ndarray, hidden: list[np.ndarray], k: int
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per user the ``k`` best (item, score) of one block of items sorted by id; ties by item."""
+    """Per user the ``k`` best (item, score) of one block of items sorted by id; ties by item.
+
+    ``hidden`` has each user's masked places in ``ids``, sorted. Items come tile by tile; after the
+    first, a user's ``k``-th best score so far is the bound that others have to reach.
+    """
     out = []
-    step = max(1, TILE_CELLS // max(len(y), 1))
+    step = max(1, TILE_CELLS // max(min(len(y), TILE_ITEMS), 1))
     for lo in range(0, len(x), step):
-        scores = x[lo : lo + step] @ y.T
-        for i, row in enumerate(scores):
-            row[hidden[lo + i]] = -np.inf
-            live = np.arange(len(row))
-            if len(row) > k:
-                live = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
-            live = live[np.isfinite(row[live])]
-            best = live[np.lexsort((ids[live], -row[live]))[:k]]
-            out.append((ids[best], row[best]))
+        users = x[lo : lo + step]
+        best = [(ids[:0], np.zeros(0, x.dtype))] * len(users)
+        bound = np.full(len(users), -np.inf, x.dtype)
+        masks = hidden[lo : lo + len(users)]
+        who = np.repeat(np.arange(len(users)), [len(m) for m in masks])
+        where = np.concatenate(masks) if len(masks) else np.zeros(0, np.int64)
+        order = np.argsort(where, kind="stable")
+        who, where = who[order], where[order]
+        for at in range(0, len(y), TILE_ITEMS):
+            scores = users @ y[at : at + TILE_ITEMS].T
+            first, last = np.searchsorted(where, [at, at + scores.shape[1]])
+            scores[who[first:last], where[first:last] - at] = -np.inf
+            if at == 0 and scores.shape[1] > k:
+                bound = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+            row, col = np.nonzero((scores >= bound[:, None]) & (scores > -np.inf))
+            cuts = np.searchsorted(row, np.arange(len(users) + 1))
+            for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                mine = col[cuts[i] : cuts[i + 1]]
+                found = np.concatenate([best[i][0], ids[at + mine]])
+                value = np.concatenate([best[i][1], scores[i, mine]])
+                top = np.lexsort((found, -value))[:k]
+                best[i] = found[top], value[top]
+                if len(top) == k:
+                    bound[i] = value[top[-1]]
+        out += best
     return out
 
 
@@ -73,8 +99,7 @@ def _score_block(asked: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFra
     fits = (who[row] == seen["user_idx"].to_numpy()[fits]) & (ids[col] == seen["item_idx"].to_numpy()[fits])
     row, col = row[fits], col[fits]
     order = np.argsort(row, kind="stable")
-    cuts = np.searchsorted(row[order], np.arange(1, len(who)))
-    hidden = np.split(col[order], cuts)
+    hidden = np.split(col[order], np.searchsorted(row[order], np.arange(1, len(who))))
     matrix = lambda v: np.stack([np.asarray(f, dtype=np.float32) for f in v])
     best = _best_in_block(matrix(users["features"]), ids, matrix(found["features"]), hidden, k)
     return pd.DataFrame({
@@ -83,6 +108,12 @@ def _score_block(asked: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFra
     })
 
 
+def block_counts(n_users: int, n_items: int, block_rows: int, cores: int) -> tuple[int, int]:
+    """Blocks of users and of items: as few as their size allows, of users enough for all cores."""
+    u_blocks, i_blocks = (max(1, math.ceil(n / block_rows)) for n in (n_users, n_items))
+    return max(u_blocks, min(math.ceil(n_users / LEAST_ROWS), math.ceil(2 * cores / i_blocks))), i_blocks
+
+
 def recommend(
     model: ALSModel, users: DataFrame, k: int, seen: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -91,13 +122,15 @@ def recommend(
     User and item factors are cut into blocks, and each pair of blocks is scored by one
     matrix product that keeps ``k`` items per user. With ``seen`` (user_idx, item_idx)
     those items are masked inside the product, so memory stays ``k`` rows per user and
-    block, however many items a user has seen. Users without factors get no rows.
+    block, however many items a user has seen. Users without factors get no rows. Blocks are as
+    large as ``block_rows`` allows, but users are cut into enough of them to keep all cores busy.
     """
     wanted = checkpointed(users.select("user_idx").distinct())
     factors = lambda df, name: df.select(F.col("id").alias(name), "features")
     mine = checkpointed(lookup_join(factors(model.userFactors, "user_idx"), wanted, ["user_idx"], "left_semi"))
     items = checkpointed(factors(model.itemFactors, "item_idx"))
-    u_blocks, i_blocks = (max(1, math.ceil(df.count() / block_rows)) for df in (mine, items))
+    cores = mine.sparkSession.sparkContext.defaultParallelism
+    u_blocks, i_blocks = block_counts(mine.count(), items.count(), block_rows, cores)
 
     def block(column: str, n: int):
         return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import functions as F
@@ -156,3 +157,22 @@ def test_empty_after_filtering_is_an_error(spark):
     df = spark.createDataFrame([("u", "i", 1.0, 1)], "user_id string, item_id string, weight double, timestamp long")
     with pytest.raises(ValueError, match="no interactions"):
         I.prepare_interactions(df, ["timestamp"])
+
+
+def test_copies_of_factors_stay_few():
+    """Rows shuffled by the ranking for 900,000 users and 1,200,000 items: under 20 for each of them."""
+    users, items = 900_000, 1_200_000
+    u, i = recommend.block_counts(users, items, recommend.BLOCK_ROWS, 12)
+    assert users * i + items * u < 20 * (users + items)
+    assert u * i >= 24  # and enough cells for the cores
+    assert recommend.block_counts(90_000, 120_000, recommend.BLOCK_ROWS, 12)[0] >= 22
+
+
+def test_best_of_a_block_over_several_tiles(monkeypatch):
+    monkeypatch.setattr(recommend, "TILE_ITEMS", 7)
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(-3, 4, (9, 3)).astype(np.float32), rng.integers(-3, 4, (60, 3)).astype(np.float32)  # many ties
+    hidden = [np.sort(rng.choice(60, n, replace=False)) for n in (0, 1, 5, 20, 58, 60, 3, 0, 7)]
+    for got, row, mask in zip(recommend._best_in_block(x, np.arange(100, 160), y, hidden, 4), x @ y.T, hidden):
+        free = [j for j in np.lexsort((np.arange(60), -row)) if j not in set(mask)][:4]
+        assert got[0].tolist() == [100 + j for j in free] and got[1].tolist() == [row[j] for j in free]
