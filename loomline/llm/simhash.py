@@ -46,6 +46,8 @@ NEAR_SHINGLE, NEAR_SIMILARITY, RUNS = 5, 0.8, 3
 PAIRS_PER_PART = 4096
 # Bits by which the fingerprints of a candidate may differ (all within two bits are found, others if they share a key).
 NEAR_BITS = 8
+# Bits of a sketch: each shingle flips one of them.
+SKETCH = 512
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 # Generator polynomial of the [23, 12] Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -127,7 +129,8 @@ def near_homes(segments: np.ndarray, width: int) -> np.ndarray:
     return home((segments[:, None] ^ flips).ravel()).reshape(len(segments), -1)
 
 
-def _keys(batches: Iterator[pa.RecordBatch], ask: bool) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], ask: bool, mark: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of ``(fp, ...)`` with each of their keys; ``mark`` tells which of the asked keys the row is stored under."""
     for batch in batches:
         fp = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         for lo in range(0, len(fp), 4096):
@@ -136,30 +139,37 @@ def _keys(batches: Iterator[pa.RecordBatch], ask: bool) -> Iterator[pa.RecordBat
             seg = [(bits >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS]
             homes = [home(s) for s in seg]
             near = [near_homes(s, n) for s, (_, n) in zip(seg, SEGMENTS)] if ask else None
-            rows, keys = [], []
+            rows, keys, own = [], [], []
             for p, (i, j) in enumerate(PAIRS):
                 base = np.int64(p) << 24
+                mine = base | homes[i] << 12 | homes[j]
                 if not ask:
-                    rows.append(part)
-                    keys.append(base | homes[i] << 12 | homes[j])
+                    rows.append(np.arange(len(part)))
+                    keys.append(mine)
                     continue
                 x = base | np.concatenate([near[i] << 12 | homes[j][:, None], homes[i][:, None] << 12 | near[j]], 1)
                 x.sort(axis=1)
                 new = np.ones(x.shape, bool)
                 new[:, 1:] = x[:, 1:] != x[:, :-1]
-                rows.append(np.repeat(part, new.sum(axis=1)))
+                rows.append(np.repeat(np.arange(len(part)), new.sum(axis=1)))
                 keys.append(x[new])
+                own.append((x == mine[:, None])[new])
+            at = pa.array(np.concatenate(rows) + lo)
+            marks = [pa.array(np.concatenate(own))] if mark else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(keys))], ["fp", "key"]
+                [*[c.take(at) for c in batch.columns], pa.array(np.concatenate(keys)), *marks],
+                [*batch.schema.names, "key", *(["home"] if mark else [])],
             )
 
 
 def stored_keys(prints: DataFrame) -> DataFrame:
-    return prints.mapInArrow(lambda b: _keys(b, False), "fp bigint, key bigint")
+    kept = ", ".join(f"{c} bigint" for c in prints.columns)
+    return prints.mapInArrow(lambda b: _keys(b, False), f"{kept}, key bigint")
 
 
-def asked_keys(prints: DataFrame) -> DataFrame:
-    return prints.mapInArrow(lambda b: _keys(b, True), "fp bigint, key bigint")
+def asked_keys(prints: DataFrame, mark: bool = False) -> DataFrame:
+    kept = ", ".join(f"{c} bigint" for c in prints.columns)
+    return prints.mapInArrow(lambda b: _keys(b, True, mark), f"{kept}, key bigint" + (", home boolean" if mark else ""))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -176,12 +186,11 @@ def _chained(prints: DataFrame) -> DataFrame:
     return words.join(least, "word").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
-def links(prints: DataFrame, bucket: int = BUCKET, most_bits: int = MAX_BITS) -> DataFrame:
+def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints that connect all pairs within two bits.
 
     Every verified pair of a key with up to ``bucket`` fingerprints is returned; for fuller
-    keys the edges connect the same fingerprints as all the pairs would. With ``most_bits``
-    above two, the pairs further apart that happen to share a key come along.
+    keys the edges connect the same fingerprints as all the pairs would.
     """
     stored = checkpointed(stored_keys(prints))
     sizes = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -197,7 +206,7 @@ def links(prints: DataFrame, bucket: int = BUCKET, most_bits: int = MAX_BITS) ->
     s = rest.select("key", F.col("fp").alias("b"))
     found = (
         asked.join(s, "key")
-        .where((F.col("fp") != F.col("b")) & (distance(F.col("fp"), F.col("b")) <= most_bits))
+        .where((F.col("fp") != F.col("b")) & (distance(F.col("fp"), F.col("b")) <= MAX_BITS))
         .select(F.least("fp", "b").alias("a"), F.greatest("fp", "b").alias("b"))
     )
     return (found if exact is None else found.unionByName(exact)).distinct()
@@ -235,8 +244,9 @@ def hex_digits(fp: Column) -> Column:
 # -- one document of each group of near copies --------------------------------
 
 
-def word_fingerprints(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBatch]:
-    """``(row, text_hash, fps)`` of ``(row, text)``: a hash of the folded words in order, and ``runs`` fingerprints.
+def word_fingerprints(batches: Iterator[pa.RecordBatch], runs: int, width: int) -> Iterator[pa.RecordBatch]:
+    """``(row, text_hash, fps, size, sketch)`` of ``(row, text)``: a hash of the folded words in order, ``runs``
+    fingerprints, and the number and the sketch of the shingles of ``width`` words.
 
     These are majority bits over the hashes of the different words: an edited word changes one of them,
     where it changes five shingles of five words.
@@ -247,6 +257,9 @@ def word_fingerprints(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[
             words = find_words(Slice(s.first, data, s.offsets))
             h = hash_ranges(data, words.starts, words.ends)
             place = rolling_rows(h, words.bounds)
+            sets = _shingles(h, words.bounds, width)
+            flips = [np.bincount((x % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1 for x in sets]
+            sketch = np.packbits(np.array(flips, np.uint8).reshape(-1, SKETCH), axis=1, bitorder="little").view(np.int64)
             order = np.lexsort((h, words.row))
             h, row = h[order], words.row[order]
             new = np.ones(len(h), bool)
@@ -264,11 +277,19 @@ def word_fingerprints(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[
                     ones[mine[begin]] += np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
                 fps[:, run] = np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(s.first, s.n), pa.array(place.view(np.int64)), pa.array(list(fps.view(np.int64)), pa.list_(pa.int64()))],
-                names=["row", "text_hash", "fps"],
+                [
+                    batch.column(0).slice(s.first, s.n), pa.array(place.view(np.int64)), pa.array(list(fps.view(np.int64)), pa.list_(pa.int64())),
+                    pa.array([len(x) for x in sets], pa.int64()), pa.array(list(sketch), pa.list_(pa.int64())),
+                ],
+                names=["row", "text_hash", "fps", "size", "sketch"],
             )
 
 
+def _shingles(h: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:
+    """Per row the sorted hashes of all runs of ``width`` words (fewer words: of all of them)."""
+    return [np.unique(rolling(h[lo:hi], max(1, min(width, int(hi - lo))))) for lo, hi in zip(bounds[:-1], bounds[1:])]
+
+
 def rolling_rows(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One hash per row of the sequence of its word hashes."""
     at = np.arange(len(h)) - np.repeat(bounds[:-1], np.diff(bounds))
@@ -284,9 +305,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
             data = np.where((s.data >= 65) & (s.data <= 90), s.data + 32, s.data).astype(np.uint8)
             words = find_words(Slice(s.first, data, s.offsets))
             h = hash_ranges(data, words.starts, words.ends)
-            sets = []
-            for lo, hi in zip(words.bounds[:-1], words.bounds[1:]):
-                sets.append(np.unique(rolling(h[lo:hi], max(1, min(width, int(hi - lo))))).tobytes())
+            sets = [x.tobytes() for x in _shingles(h, words.bounds, width)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, s.n), pa.array(sets, pa.binary())], names=["row", "shingles"])
 
 
@@ -303,31 +322,19 @@ def _similar(least: float):
     return keep
 
 
-def near_copy_groups(
-    rows: DataFrame, width: int = NEAR_SHINGLE, least: float = NEAR_SIMILARITY, runs: int = RUNS, bucket: int = BUCKET,
-) -> DataFrame:
-    """``(row, group)`` of the stored ``(row, text)`` for rows that have an equal or near copy; ``group`` is one of its rows.
+def may_be_similar(x: str, y: str, least: float) -> Column:
+    """False only for sets that can't have a similarity of ``least``, by their sizes and sketches.
 
-    Equal texts (words in order, A-Z lower-cased) meet by their hash. Of the others, pairs whose
-    fingerprints meet in any of ``runs`` independent fingerprints (always if they differ in two bits or fewer)
-    are candidates, and a candidate counts if the shingles of ``width`` words have a similarity of ``least`` or more.
+    Sets that differ in n shingles have sketches that differ in n bits at most, and a similarity s of
+    sets of p and q shingles leaves (p + q) * (1 - s) / (1 + s) different ones.
     """
-    prints = checkpointed(rows.select("row", F.col("text").cast("string")).mapInArrow(
-        lambda b: word_fingerprints(b, runs), "row bigint, text_hash bigint, fps array<bigint>"
-    ))
-    texts = checkpointed(prints.groupBy("text_hash").agg(F.min("row").alias("row"), F.first("fps").alias("fps"), F.count(F.lit(1)).alias("n")))
-    pairs = None
-    for run in range(runs):
-        members = texts.select(F.get("fps", F.lit(run)).alias("fp"), "row")
-        firsts = checkpointed(members.groupBy("fp").agg(F.min("row").alias("first"), F.max("row").alias("last")))
-        edges = links(firsts.select("fp"), bucket, NEAR_BITS)
-        a, b = (firsts.select(F.col("fp").alias(c), F.col("first").alias(f"row_{c}")) for c in "ab")
-        found = edges.join(a, "a").join(b, "b").select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
-        shared = lookup_join(members, firsts.where("first < last").select("fp", "first"), ["fp"])
-        found = found.unionByName(shared.where("row > first").select(F.col("first").alias("a"), F.col("row").alias("b")))
-        found = checkpointed(found)  # run after run: one plan of all would hold much of the driver's memory
-        pairs = found if pairs is None else pairs.unionByName(found)
-    pairs = checkpointed(pairs.distinct())
+    p, q = F.col(f"size_{x}"), F.col(f"size_{y}")
+    apart = sum((distance(F.get(f"sketch_{x}", F.lit(i)), F.get(f"sketch_{y}", F.lit(i))) for i in range(SKETCH // 64)), F.lit(0))
+    return (F.least(p, q) >= F.greatest(p, q) * (least - 1e-9)) & (apart <= (p + q) * ((1 - least) / (1 + least) + 1e-9))
+
+
+def _verified(rows: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
+    """The stored pairs ``(a, b)`` of rows whose shingles have a similarity of ``least`` or more."""
     wanted = checkpointed(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct())
     sets = checkpointed(rows.join(sized_broadcast(wanted), "row", "left_semi").select("row", F.col("text").cast("string")).mapInArrow(
         lambda b: shingle_sets(b, width), "row bigint, shingles binary"
@@ -340,7 +347,77 @@ def near_copy_groups(
     )
     y = sets.select(F.col("row").alias("b"), F.col("shingles").alias("y"))
     met = dealt.join(x, ["a", "part"]).join(y, "b")
-    near = checkpointed(met.select("a", "b", "x", "y").mapInArrow(_similar(least), "a bigint, b bigint"))
+    return checkpointed(met.select("a", "b", "x", "y").mapInArrow(_similar(least), "a bigint, b bigint"))
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _unlinked_pairs(met: DataFrame, facts: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """Candidates ``(a, b)`` of the stored ``met`` that are in different groups so far, heads of keys left out.
+
+    Members of a key's first group meet the others only, never each other. A key of very many
+    stored rows is cut into parts, to each of which the rows that ask are copied.
+    """
+    others = met.where("held > 1 and row <> head").select("key", "row", "fp", "home")
+    others = lookup_join(others, labels, ["row"], "left").withColumn("label", F.coalesce("label", "row"))
+    others = checkpointed(others)
+    keys = others.groupBy("key").agg(
+        F.min("label").alias("main"), F.max("label").alias("last"), F.ceil(F.count_if("home") / PAIRS_PER_PART).alias("parts")
+    )
+    keys = checkpointed(keys.where("main < last and parts > 0").drop("last"))
+    mixed_keys = lookup_join(others, keys, ["key"]).withColumn("in_main", F.col("label") == F.col("main"))
+    known = checkpointed(lookup_join(mixed_keys, facts, ["row"]))
+
+    def side(df: DataFrame, to: str) -> DataFrame:
+        return df.select("key", "part", "meets", *[F.col(c).alias(f"{c}_{to}") for c in ("row", "fp", "label", "size", "sketch")])
+
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    asking = side(known.withColumn("part", every).withColumn("meets", F.col("in_main")), "x")
+    whom = F.explode(F.when(F.col("in_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    held = side(known.where("home").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).withColumn("meets", whom), "y")
+    found = asking.join(held, ["key", "part", "meets"]).where(
+        (F.col("label_x") != F.col("label_y")) & (distance(F.col("fp_x"), F.col("fp_y")) <= NEAR_BITS) & may_be_similar("x", "y", least)
+    )
+    return checkpointed(found.select(*_ordered("row_x", "row_y")).distinct())
+
+
+def near_copy_groups(rows: DataFrame, width: int = NEAR_SHINGLE, least: float = NEAR_SIMILARITY, runs: int = RUNS) -> DataFrame:
+    """``(row, group)`` of the stored ``(row, text)`` for rows that have an equal or near copy; ``group`` is one of its rows.
+
+    Equal texts (words in order, A-Z lower-cased) meet by their hash. Of the others, pairs whose
+    fingerprints meet in any of ``runs`` independent fingerprints (always if they differ in two bits or fewer)
+    are candidates, and a candidate counts if the shingles of ``width`` words have a similarity of ``least`` or more.
+
+    The groups are those of all candidates, however many rows share a key. First every row is compared with the
+    first row of each of its keys. What that links needs no comparison any more; of the rest, all pairs of a key
+    are compared whose sketches do not rule out the similarity.
+    """
+    prints = checkpointed(rows.select("row", F.col("text").cast("string")).mapInArrow(
+        lambda b: word_fingerprints(b, runs, width), "row bigint, text_hash bigint, fps array<bigint>, size bigint, sketch array<bigint>"
+    ))
+    texts = checkpointed(prints.groupBy("text_hash").agg(
+        F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("fps", "size", "sketch")], F.count(F.lit(1)).alias("n")
+    ))
+    facts = texts.select("row", "size", "sketch")
+    met = None
+    for run in range(runs):
+        members = texts.select(F.get("fps", F.lit(run)).alias("fp"), "row")
+        heads = stored_keys(members).groupBy("key").agg(F.min(F.struct("row", "fp")).alias("first"), F.count(F.lit(1)).alias("held"))
+        asked = asked_keys(members, mark=True).join(heads, "key").where("held > 1 or first.row <> row")
+        found = asked.select(
+            (F.col("key") + (run << 26)).alias("key"), "row", "fp", "home", "held", F.col("first.row").alias("head"), F.col("first.fp").alias("head_fp")
+        )
+        found = checkpointed(found)  # run after run: one plan of all would hold much of the driver's memory
+        met = found if met is None else met.unionByName(found)
+    starts = met.where((F.col("row") != F.col("head")) & (distance(F.col("fp"), F.col("head_fp")) <= NEAR_BITS))
+    pairs = checkpointed(starts.select(*_ordered("row", "head")).distinct())
+    for c in "ab":
+        pairs = lookup_join(pairs, facts.select(*[F.col(f).alias(t) for f, t in (("row", c), ("size", f"size_{c}"), ("sketch", f"sketch_{c}"))]), [c])
+    near = _verified(rows, checkpointed(pairs.where(may_be_similar("a", "b", least)).select("a", "b")), width, least)
+    labels = checkpointed(connected(near).select(F.col("node").alias("row"), F.col("root").alias("label")))
+    near = near.unionByName(_verified(rows, _unlinked_pairs(met, facts, labels, least), width, least))
     joined = checkpointed(connected(near).select(F.col("node").alias("first"), F.col("root").alias("group")))
     firsts = texts.select("text_hash", F.col("row").alias("first"), "n").join(joined, "first", "left").where("n > 1 or group is not null")
     named = firsts.select("text_hash", F.coalesce("group", "first").alias("group"))

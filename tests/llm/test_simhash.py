@@ -154,3 +154,32 @@ def test_near_copies_are_found_and_others_left_alone(spark):
 
 def test_empty_table(spark):
     assert simhash.near_copies(frame(spark, [])).collect() == []
+
+
+def test_copies_of_many_texts_with_one_fingerprint(spark):
+    """Texts of the same words in other orders share every fingerprint; each has one near copy, which is found."""
+    rng, base, rows = random.Random(5), [f"w{i}x{i * i}" for i in range(120)], []
+    for i in range(100):
+        text = rng.sample(base, len(base))
+        rows.append(row(i, " ".join(text)))
+        text[60], text[61] = text[61], text[60]
+        rows.append(row(1000 + i, " ".join(text)))
+    kept = {r.doc_id for r in simhash.drop_near_copies(frame(spark, rows)).collect()}
+    assert kept == set(range(100))
+
+
+def test_sketches_rule_out_no_similar_pair(spark):
+    rng, sets = random.Random(6), []
+    for i in range(300):
+        text = words(rng.choice([7, 30, 400]), i % 60)
+        text[rng.randrange(len(text))] = f"edit{i}"
+        sets.append((i, " ".join(text)))
+    df = spark.createDataFrame(sets, "row long, text string")
+    facts = df.mapInArrow(lambda b: simhash.word_fingerprints(b, 1, 5), "row bigint, h bigint, fps array<bigint>, size bigint, sketch array<bigint>")
+    a, b = (facts.select(*[simhash.F.col(c).alias(f"{c}_{s}") for c in ("row", "size", "sketch")]) for s in "ab")
+    may = {(r.row_a, r.row_b) for r in a.crossJoin(b).where(simhash.may_be_similar("a", "b", 0.8)).collect()}
+    parts = [shingles(t) for _, t in sets]
+    for i in range(len(sets)):
+        for j in range(len(sets)):
+            assert (i, j) in may or not similar(parts[i], parts[j])
+    assert len(may) < 0.7 * len(sets) ** 2
