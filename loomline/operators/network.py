@@ -27,8 +27,9 @@ from loomline.sources.sinks import read_json_row, write_json_row
 # Fixed values.
 DEFAULTS = {"hidden_dim": 64, "epochs": 50, "lr": 1e-3, "batch_size": 4096, "seed": 42}
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-# Rows of a block: one gradient on the driver for so many rows.
+# Rows of a block, which gives one gradient; the driver adds up this many gradients of a step at most.
 BLOCK_ROWS = 1024
+DRIVER_ROWS = 64
 
 Weights = list[tuple[np.ndarray, np.ndarray]]
 
@@ -148,9 +149,10 @@ def fit_network(
     weights = initial(sizes, int(p["seed"]))
     model = Network(features, *_scaling(df, features), sizes, flat(weights).tolist(), p)
     batches = math.ceil(n / int(p["batch_size"]))
+    per_batch = math.ceil(n / batches / BLOCK_ROWS)
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/loomline/{uuid.uuid4().hex}"
-    _stored_blocks(df, model, key, label, batches, math.ceil(n / batches / BLOCK_ROWS)).write.partitionBy("batch").parquet(path)
+    _stored_blocks(df, model, key, label, batches, per_batch).write.partitionBy("batch").parquet(path)
     blocks = spark.read.schema("block int, x binary, y binary, batch int").parquet(path)
     values = flat(weights)
     first, second = np.zeros_like(values), np.zeros_like(values)
@@ -158,7 +160,7 @@ def fit_network(
     for _ in range(int(p["epochs"])):
         total = 0.0
         for batch in rng.permutation(batches).tolist():
-            loss, rows, slope = _batch_gradient(blocks.where(F.col("batch") == batch), sizes, values)
+            loss, rows, slope = _batch_gradient(blocks.where(F.col("batch") == batch), sizes, values, per_batch)
             if not rows:
                 continue
             step, total, slope = step + 1, total + loss, slope / rows
@@ -187,8 +189,11 @@ def _stored_blocks(df: DataFrame, model: Network, key: Sequence[str], label: str
     return rows.groupBy("batch", "block").applyInPandas(pack, "batch int, block int, x binary, y binary")
 
 
-def _batch_gradient(blocks: DataFrame, sizes: Sequence[int], values: np.ndarray) -> tuple[float, int, np.ndarray]:
-    """Loss, rows and summed gradient of a minibatch."""
+def _batch_slopes(blocks: DataFrame, sizes: Sequence[int], values: np.ndarray, per_batch: int) -> DataFrame:
+    """Loss, rows and summed gradient of a minibatch in at most ``DRIVER_ROWS`` rows.
+
+    More blocks are added up on the executors, by number, so that the sums do not depend on partitions.
+    """
     weights = shaped(values, sizes)
 
     def slopes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,7 +203,24 @@ def _batch_gradient(blocks: DataFrame, sizes: Sequence[int], values: np.ndarray)
                 loss, slope = gradient(weights, np.frombuffer(x, np.float64).reshape(len(labels), -1), labels)
                 yield pd.DataFrame({"block": [block], "rows": [len(labels)], "loss": [loss], "slope": [flat(slope).tobytes()]})
 
-    found = blocks.select("block", "x", "y").mapInPandas(slopes, "block int, rows bigint, loss double, slope binary").collect()
+    schema = "block int, rows bigint, loss double, slope binary"
+    found = blocks.select("block", "x", "y").mapInPandas(slopes, schema)
+    if per_batch <= DRIVER_ROWS:
+        return found
+
+    def add(at, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        slope = np.zeros_like(values)
+        for part in pdf["slope"]:
+            slope = slope + np.frombuffer(part, np.float64)
+        return pd.DataFrame({"block": [at[0]], "rows": [pdf["rows"].sum()], "loss": [math.fsum(pdf["loss"])], "slope": [slope.tobytes()]})
+
+    return found.groupBy((F.col("block") % DRIVER_ROWS).alias("part")).applyInPandas(add, schema)
+
+
+def _batch_gradient(blocks: DataFrame, sizes: Sequence[int], values: np.ndarray, per_batch: int) -> tuple[float, int, np.ndarray]:
+    """Loss, rows and summed gradient of a minibatch of ``per_batch`` blocks."""
+    found = _batch_slopes(blocks, sizes, values, per_batch).collect()
     loss, rows, total = 0.0, 0, np.zeros_like(values)
     for r in sorted(found, key=lambda r: r.block):
         loss, rows, total = loss + r.loss, rows + r.rows, total + np.frombuffer(r.slope, np.float64)

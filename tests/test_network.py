@@ -72,3 +72,19 @@ def test_odd_rows(spark):
         network.fit_network(df.where("target is null"), NAMES, ["id"], 2)
     with pytest.raises(ValueError, match="unknown parameters"):
         network.fit_network(df, NAMES, ["id"], 2, params={"layers": 3})
+
+
+def test_gradients_of_many_blocks_are_added_on_the_executors(spark):
+    """The driver gets a bounded number of sums, which are those of all blocks."""
+    rng, sizes = np.random.default_rng(3), [2, 4, 2, 3]
+    values = network.flat(network.initial(sizes, 1))
+    rows, want = [], np.zeros_like(values)
+    for block in range(150):
+        x, y = rng.normal(0, 1, (5, 2)), rng.integers(0, 3, 5)
+        rows.append((block, x.tobytes(), y.tobytes()))
+        want += network.flat(network.gradient(network.shaped(values, sizes), x, y)[1])
+    for parts in (1, 9):
+        blocks = spark.createDataFrame([(b, bytearray(x), bytearray(y)) for b, x, y in rows], "block int, x binary, y binary").repartition(parts)
+        assert network._batch_slopes(blocks, sizes, values, 150).count() == network.DRIVER_ROWS
+        loss, n, slope = network._batch_gradient(blocks, sizes, values, 150)
+        assert n == 750 and np.allclose(slope, want)
