@@ -88,3 +88,18 @@ def test_model_is_bounded(spark):
     gram, n = toxicity.collected(counts, 200)
     assert 0 < len(gram) <= 200 and len(n) == len(gram)
     assert n.sum(1).min() >= max(r for (r,) in counts.selectExpr("o0+t0+o1+t1+o2+t2 n").collect()) / 1000
+
+
+def test_any_number_of_grams_scores_alike(spark):
+    """A model too large to be collected drops no n-gram: scores are those of the collected one."""
+    rows, marks = corpus(300)
+    rows += odd_rows(5000) + [row(9000, "zorgish " * 4000), row(9001, "x" * 500 + " \u00e9t\u00e9 \u4f60\u597d")]
+    labels = spark.createDataFrame(marks + [(9001, 1, 1, "x")], LABELS)
+    docs = frame(spark, rows)
+    got = []
+    for most in (toxicity.MAX_GRAMS, 200):
+        scorer = toxicity.train(docs, labels, max_grams=most)
+        assert (scorer.tables is None) == (most > 200)
+        got.append({r.doc_id: r._score for r in toxicity.score(docs, scorer, docs.columns).collect()})
+    assert got[0].keys() == got[1].keys() == {r[0] for r in rows}
+    assert max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-5
