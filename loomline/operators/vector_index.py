@@ -30,8 +30,10 @@ SAMPLE_ROWS = 65_536
 CODE_WORDS = 256
 # Rows of a cell per file and task; larger cells are cut by a hash of the item.
 PART_ROWS = 200_000
-# Items of a cell that are compared with all its queries at once.
+# Items of a cell that a query is compared with at once, and queries that meet a part of a cell.
 TILE_ROWS = 4096
+# Queries whose tables of distances a task holds at once: a table has (words x dimensions) values while it is made.
+TABLE_ROWS = 32
 
 
 @dataclass
@@ -150,16 +152,19 @@ def load_index(spark: SparkSession, folder: str) -> tuple[DataFrame, IndexModel]
     return spark.read.schema(schema).parquet(f"{folder}/cells.parquet"), IndexModel(np.array(config["centres"]), np.array(config["words"]))
 
 
-def _best_codes(model: IndexModel, cell: int, qids, q: np.ndarray, ids: np.ndarray, codes: np.ndarray, rerank: int):
-    """Per query the ``rerank`` items of a cell with the least approximate distance."""
-    tables = model.tables(q, cell)
+def _best_codes(model: IndexModel, cell: int, qids, q: np.ndarray, ids: np.ndarray, codes: np.ndarray, rerank: int) -> Iterator[pd.DataFrame]:
+    """Per query the ``rerank`` items of a cell with the least approximate distance; one frame per ``TABLE_ROWS`` queries."""
     parts = np.arange(codes.shape[1])
-    found = []
-    for i, table in enumerate(tables):
-        rough = np.concatenate([table[parts, codes[lo : lo + TILE_ROWS]].sum(1) for lo in range(0, len(codes), TILE_ROWS)])
-        best = np.lexsort((ids, rough))[:rerank] if len(rough) <= rerank else np.argpartition(rough, rerank - 1)[:rerank]
-        found.append(pd.DataFrame({"query_id": qids[i], "item_id": ids[best], "cell": cell, "rough": rough[best]}))
-    return found
+    for first in range(0, len(q), TABLE_ROWS):
+        found = []
+        for table in model.tables(q[first : first + TABLE_ROWS], cell):
+            rough = np.concatenate([table[parts, codes[lo : lo + TILE_ROWS]].sum(1) for lo in range(0, len(codes), TILE_ROWS)])
+            best = np.lexsort((ids, rough))[:rerank] if len(rough) <= rerank else np.argpartition(rough, rerank - 1)[:rerank]
+            found.append((ids[best], rough[best]))
+        yield pd.DataFrame({
+            "query_id": np.repeat(np.asarray(qids[first : first + TABLE_ROWS]), [len(f[0]) for f in found]),
+            "item_id": np.concatenate([f[0] for f in found]), "cell": cell, "rough": np.concatenate([f[1] for f in found]),
+        })
 
 
 def _matrix(codes: pd.Series) -> np.ndarray:

@@ -86,3 +86,23 @@ def test_odd_vectors_and_queries(spark, tmp_path):
     assert none.collect() == []
     with pytest.raises(ValueError, match="no vectors"):
         vector_index.fit_index(items.where("item_id = 100"), 4)
+
+
+def test_many_queries_of_a_cell_meet_it_in_bounded_memory():
+    """Tables of distances are made for a few queries at a time, whatever their number."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    model = vector_index.IndexModel(rng.normal(size=(2, 64)), rng.normal(size=(16, 256, 4)))
+    q, ids, codes = rng.normal(size=(1000, 64)), np.arange(500), rng.integers(0, 256, (500, 16)).astype(np.uint8)
+    tracemalloc.start()
+    found, rows = 0, {}
+    for frame in vector_index._best_codes(model, 1, list(range(1000)), q, ids, codes, 20):
+        found += len(frame)
+        rows |= {k: v.set_index("item_id")["rough"].to_dict() for k, v in frame.groupby("query_id")}
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 20_000 and most < 60_000_000
+    for i in (0, 31, 32, 999):
+        rough = model.tables(q[i : i + 1], 1)[0][np.arange(16), codes].sum(1)
+        assert rows[i] == pytest.approx({int(j): rough[j] for j in np.argsort(rough)[:20]})
