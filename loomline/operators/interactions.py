@@ -55,15 +55,25 @@ def k_core(
     ``max_passes`` ends earlier: the result may then hold keys below the minimum.
 
     Each pass removes the keys below the minimum by anti-join: those keys have few
-    rows by definition, so the removed side is never hot.
+    rows by definition, so the removed side is never hot. Rows that are unique by user and
+    item are counted as they are, so a pass moves counts only; otherwise partners are made
+    distinct in every pass.
     """
     current = checkpointed(df)
     before = current.count()
+    same = current.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(F.count(F.lit(1)).alias("_n"))
+    unique = same.where("_n > 1").isEmpty()
+
+    def weak(rows: DataFrame, key: str, partner: str, least: int) -> DataFrame:
+        if unique:
+            n = rows.groupBy(key).agg(F.count(partner).alias("n_partners"))  # null partners do not count
+        else:
+            n = partner_counts(rows, key, partner)
+        return n.where(F.col("n_partners") < least).select(key)
+
     for _ in count() if max_passes is None else range(max_passes):
-        weak_items = partner_counts(current, item, user).where(F.col("n_partners") < min_users)
-        step = lookup_join(current, weak_items.select(item), [item], "left_anti")
-        weak_users = partner_counts(step, user, item).where(F.col("n_partners") < min_items)
-        step = lookup_join(step, weak_users.select(user), [user], "left_anti")
+        step = lookup_join(current, weak(current, item, user, min_users), [item], "left_anti")
+        step = lookup_join(step, weak(step, user, item, min_items), [user], "left_anti")
         current = checkpointed(step.where(F.col(user).isNotNull() & F.col(item).isNotNull()))
         after = current.count()
         if after == before:
