@@ -180,17 +180,15 @@ def test_best_of_a_block_over_several_tiles(monkeypatch):
 
 @pytest.mark.parametrize("copies", [1, 3])
 def test_k_core_makes_partners_distinct_only_if_rows_repeat(spark, monkeypatch, copies):
-    from loomline.operators import interactions
-
     pairs = {(u, i) for u in range(12) for i in range(10) if (u * i) % 7 < 4 and u + i < 16}
     rows = [(u, i, float(c)) for u, i in pairs for c in range(copies)] + [(None, 1, 0.0), (1, None, 0.0), (None, None, 0.0)]
-    asked, made = [], interactions.partner_counts
-    monkeypatch.setattr(interactions, "partner_counts", lambda *a: asked.append(a) or made(*a))
+    asked, made = [], I.partner_counts
+    monkeypatch.setattr(I, "partner_counts", lambda *a: asked.append(a) or made(*a))
     df = spark.createDataFrame(rows, "user_id int, item_id int, weight double")
-    got = interactions.k_core(df, min_users=6, min_items=5).collect()
+    got = I.k_core(df, min_users=6, min_items=4).collect()
     while True:
         kept = {(u, i) for u, i in pairs if sum(j == i for _, j in pairs) >= 6}
-        kept = {(u, i) for u, i in kept if sum(v == u for v, _ in kept) >= 5}
+        kept = {(u, i) for u, i in kept if sum(v == u for v, _ in kept) >= 4}
         if kept == pairs:
             break
         pairs = kept
