@@ -172,6 +172,16 @@ def test_geo_clusters_fit_on_training_only(spark):
     assert out.select("geo_cluster").distinct().count() == 4
 
 
+def test_geo_clusters_weigh_equal_points(spark):
+    pts = [(0.0, 0.0)] * 90 + [(0.0, 1.0)] * 10 + [(50.0, 0.0)] * 5 + [(50.0, 2.0)] * 15
+    df = spark.createDataFrame(pts, "Latitude double, Longitude double")
+    model = tabular.fit_geo_clusters(df, k=2, starts=2)
+    assert sum(model.summary.clusterSizes) == 4  # points compared
+    assert sorted(tuple(c) for c in model.clusterCenters()) == [pytest.approx((0.0, 0.1)), pytest.approx((50.0, 1.5))]
+    cost = tabular.with_geo_cluster(df, model).agg(F.sum(F.col("dist_to_cluster_center") ** 2)).first()[0]
+    assert model.summary.trainingCost == pytest.approx(cost)
+
+
 def test_importance(spark):
     rng = random.Random(9)
     rows = [(i, rng.random(), rng.random()) for i in range(300)]
