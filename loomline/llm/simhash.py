@@ -34,7 +34,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import connected
-from loomline.llm.text import Slice, checkpointed, find_words, hash_ranges, mixed, rolling, sized_broadcast, slices, small_partitions
+from loomline.llm.text import (
+    Slice,
+    checkpointed,
+    find_words,
+    hash_ranges,
+    mixed,
+    rolling,
+    sized_broadcast,
+    slices,
+    small_batches,
+    small_partitions,
+)
 from loomline.operators.groups import lookup_join
 
 SHINGLE = 3
@@ -431,6 +442,7 @@ def drop_near_copies(docs: DataFrame, width: int = NEAR_SHINGLE, least: float =
     and of wholly repeated rows one stays. Blank and null texts are copies of each other. The columns
     and their order are those of ``docs``.
     """
+    small_batches(docs.sparkSession)
     rows = checkpointed(docs.withColumn("_near_row", F.monotonically_increasing_id()))
     groups = checkpointed(near_copy_groups(rows.select(F.col("_near_row").alias("row"), "text"), width, least, runs))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")

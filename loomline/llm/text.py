@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators.groups import checkpointed, input_bytes  # noqa: F401  (used by the operators)
@@ -25,6 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 # Inputs above this size are taken as they are split.
 SMALL_BYTES = 64 << 20
+# Bytes after which Spark ends a batch of rows for Python; its own limit is 64 MB.
+BATCH_BYTES = 4 << 20
 # A counted side of at most this many narrow rows is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -43,6 +45,15 @@ def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about ``BATCH_BYTES`` from here on.
+
+    A task holds a batch several times, in the JVM while it grows and when it comes back, and in
+    Python; by Spark's own limit whole splits of long texts are one batch. Results don't depend on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def small_partitions(df: DataFrame) -> DataFrame:
     """As many partitions as cores at least, for a small table read from few files.
 

@@ -40,6 +40,7 @@ from loomline.llm.text import (
     sized_broadcast,
     signed,
     slices,
+    small_batches,
     small_partitions,
 )
 
@@ -527,6 +528,7 @@ def score(docs: DataFrame, scorer: Scorer, keep: list[str]) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFrame:
     """Documents that score below ``limit``; the columns stay as they are."""
+    small_batches(docs.sparkSession)
     model = train(docs, labels)
     kept = score(docs, model, docs.columns)
     return kept.where(F.col("_score") < limit).select(*docs.columns)

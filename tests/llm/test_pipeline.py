@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -104,3 +105,19 @@ def test_stages_on_odd_rows_and_empty_tables(spark, tmp_path):
                 docs = out
         assert out.count() == docs.count()
         assert bool(rows) == bool(docs.count())
+
+
+@pytest.mark.parametrize("stage", [0, 1])
+def test_long_texts_go_to_python_in_small_batches(spark, tmp_path, stage):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), "id", F.lit(" ")), 5000).alias("text")).coalesce(1)
+    kept = corpus_pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    got = docs.select("text").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 400 and max(r["size"] for r in got) < 8 << 20
