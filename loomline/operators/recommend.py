@@ -20,13 +20,12 @@ from loomline.operators.groups import (
     with_position,
 )
 
-# Users or items in a block of factors at most, users of a block at least, and cells of a block's scores held at once.
+# Users or items in a block of factors at most, and users of a block at least.
 # A block is copied to every block of the other side, so what is shuffled falls with the size of blocks.
 BLOCK_ROWS = 1 << 17
 LEAST_ROWS = 4096
-TILE_CELLS = 1 << 22
-# Items scored by one matrix product.
-TILE_ITEMS = 8192
+# Users and items scored by one matrix product: its result stays in a core's cache.
+TILE_USERS, TILE_ITEMS = 512, 1024
 # Iterations after which the factors are stored and the shuffle files of earlier iterations deleted.
 STORE_EVERY = 2
 # Fixed values.
@@ -46,52 +45,106 @@ def fit_als(train: DataFrame, params: dict | None = None, seed: int = 42) -> ALS
     return als.fit(train.where("weight <> 0"))
 
 
+def _places(marks: np.ndarray) -> np.ndarray:
+    """Where a flat array of few true values has them: eight at a time are looked at first."""
+    whole = len(marks) // 8 * 8
+    near = (np.flatnonzero(marks[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([near[marks[near]], whole + np.flatnonzero(marks[whole:])])
+
+
 def _best_in_block(
     x: np.ndarray, ids: np.ndarray, y: np.ndarray, hidden: list[np.ndarray], k: int
 ) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per user the ``k`` best (item, score) of one block of items sorted by id; ties by item.
 
-    ``hidden`` has each user's masked places in ``ids``, sorted. Items come tile by tile; after the
-    first, a user's ``k``-th best score so far is the bound that others have to reach.
+    ``hidden`` has each user's masked places in ``ids``, sorted. Items come tile by tile, the longest
+    vectors first; after the first tile a user's ``k``-th best score so far is the bound that others
+    have to reach. A product is at most the lengths of its two vectors, so tiles of vectors too short
+    for any user of a tile are left out; users are put together by the length that they ask for.
     """
-    out = []
-    step = max(1, TILE_CELLS // max(min(len(y), TILE_ITEMS), 1))
-    for lo in range(0, len(x), step):
-        users = x[lo : lo + step]
-        best = [(ids[:0], np.zeros(0, x.dtype))] * len(users)
-        bound = np.full(len(users), -np.inf, x.dtype)
-        masks = hidden[lo : lo + len(users)]
-        who = np.repeat(np.arange(len(users)), [len(m) for m in masks])
-        where = np.concatenate(masks) if len(masks) else np.zeros(0, np.int64)
-        order = np.argsort(where, kind="stable")
-        who, where = who[order], where[order]
-        for at in range(0, len(y), TILE_ITEMS):
-            scores = users @ y[at : at + TILE_ITEMS].T
-            first, last = np.searchsorted(where, [at, at + scores.shape[1]])
-            scores[who[first:last], where[first:last] - at] = -np.inf
-            if at == 0 and scores.shape[1] > k:
+    length = lambda m: np.sqrt((m.astype(np.float64) ** 2).sum(1))
+    far = length(y)
+    order = np.argsort(-far, kind="stable")
+    ids, y, far = ids[order], y[order], far[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    sizes = np.array([len(m) for m in hidden], np.int64)
+    starts = np.append(0, np.cumsum(sizes))
+    masked = place[np.concatenate(hidden).astype(np.int64)] if len(hidden) else np.zeros(0, np.int64)
+    # what a product in this precision may exceed the exact one by
+    reach = length(x) * (1 + 4 * (x.shape[1] + 2) * float(np.finfo(x.dtype).eps)) if len(x) else np.zeros(0)
+    values = np.full((len(x), k), -np.inf, x.dtype)
+    items = np.zeros((len(x), k), ids.dtype)
+    products, marks = (np.empty(min(len(x), TILE_USERS) * min(len(y), TILE_ITEMS), t) for t in (x.dtype, bool))
+
+    def merge(users: np.ndarray, found: list[tuple[np.ndarray, ...]]) -> None:
+        row, item, value = (np.concatenate(v) for v in zip(*found, (np.repeat(np.arange(len(users)), k), items[users].ravel(), values[users].ravel())))
+        real = np.flatnonzero(value > -np.inf)
+        real = real[np.lexsort((item[real], -value[real], row[real]))]
+        row = row[real]
+        at = np.arange(len(row)) - np.searchsorted(row, np.arange(len(users)))[row]
+        real, row, at = real[at < k], row[at < k], at[at < k]
+        values[users[row], at], items[users[row], at] = value[real], item[real]
+
+    def search(users: np.ndarray, first: int, last: int) -> None:
+        mine, n = x[users], sizes[users]
+        who = np.repeat(np.arange(len(users)), n)
+        where = masked[np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[users], n)]
+        by_place = np.argsort(where, kind="stable")
+        who, where = who[by_place], where[by_place]
+        found, waiting = [], 0
+        for lo in range(first, last, TILE_ITEMS):
+            bound = values[users, -1]
+            if not (reach[users] * far[lo] >= bound).any():
+                break
+            shape = len(users), min(lo + TILE_ITEMS, last) - lo
+            scores, reached = (v[: shape[0] * shape[1]].reshape(shape) for v in (products, marks))
+            np.matmul(mine, y[lo : lo + shape[1]].T, out=scores)
+            begin, end = np.searchsorted(where, [lo, lo + scores.shape[1]])
+            scores[who[begin:end], where[begin:end] - lo] = -np.inf
+            if lo == 0 and scores.shape[1] > k:
                 bound = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            row, col = np.nonzero((scores >= bound[:, None]) & (scores > -np.inf))
-            cuts = np.searchsorted(row, np.arange(len(users) + 1))
-            for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
-                mine = col[cuts[i] : cuts[i + 1]]
-                found = np.concatenate([best[i][0], ids[at + mine]])
-                value = np.concatenate([best[i][1], scores[i, mine]])
-                top = np.lexsort((found, -value))[:k]
-                best[i] = found[top], value[top]
-                if len(top) == k:
-                    bound[i] = value[top[-1]]
-        out += best
-    return out
+            np.greater_equal(scores, bound[:, None], out=reached)
+            row, col = np.divmod(_places(reached.ravel()), scores.shape[1])
+            found.append((row, ids[lo + col], scores[row, col]))
+            waiting += len(row)
+            if waiting > 2 * k * len(users):
+                merge(users, found)
+                found, waiting = [], 0
+        if waiting:
+            merge(users, found)
+
+    everyone = np.arange(len(x))
+    for lo in range(0, len(x), TILE_USERS):
+        search(everyone[lo : lo + TILE_USERS], 0, min(TILE_ITEMS, len(y)))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        everyone = np.argsort(np.nan_to_num(values[:, -1] / reach, nan=-np.inf), kind="stable")
+    for lo in range(0, len(x) if len(y) > TILE_ITEMS else 0, TILE_USERS):
+        search(everyone[lo : lo + TILE_USERS], TILE_ITEMS, len(y))
+    full = (values > -np.inf).sum(1)
+    return [(items[i, :n], values[i, :n]) for i, n in enumerate(full)]
+
+
+def _packed(rows: pd.DataFrame, block: str) -> pd.DataFrame:
+    """A block of factors as one row: ids and vectors in the order of ids."""
+    rows = rows.sort_values("id")
+    vectors = np.stack([np.asarray(f, dtype=np.float32) for f in rows["features"]])
+    return pd.DataFrame({
+        block: [rows[block].iloc[0]], "ids": [rows["id"].to_numpy(np.int32).tobytes()], "vectors": [vectors.tobytes()],
+    })
+
+
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(rows["ids"].iloc[0], np.int32)
+    return ids, np.frombuffer(rows["vectors"].iloc[0], np.float32).reshape(len(ids), -1)
 
 
 def _score_block(asked: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFrame:
-    users = asked[asked["features"].notna()].sort_values("user_idx")
+    users = asked[asked["ids"].notna()]
     if users.empty or found.empty:
         return pd.DataFrame({"user_idx": [], "item_idx": [], "score": []})
-    found = found.sort_values("item_idx")
-    who, ids = users["user_idx"].to_numpy(), found["item_idx"].to_numpy()
-    seen = asked[asked["features"].isna()]
+    (who, x), (ids, y) = _unpacked(users), _unpacked(found)
+    seen = asked[asked["ids"].isna()]
     row = np.searchsorted(who, seen["user_idx"].to_numpy())
     col = np.searchsorted(ids, seen["item_idx"].to_numpy())
     fits = (row < len(who)) & (col < len(ids))
@@ -100,8 +153,7 @@ def _score_block(asked: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFra
     row, col = row[fits], col[fits]
     order = np.argsort(row, kind="stable")
     hidden = np.split(col[order], np.searchsorted(row[order], np.arange(1, len(who))))
-    matrix = lambda v: np.stack([np.asarray(f, dtype=np.float32) for f in v])
-    best = _best_in_block(matrix(users["features"]), ids, matrix(found["features"]), hidden, k)
+    best = _best_in_block(x, ids, y, hidden, k)
     return pd.DataFrame({
         "user_idx": np.repeat(who, [len(i) for i, _ in best]),
         "item_idx": np.concatenate([i for i, _ in best]), "score": np.concatenate([v for _, v in best]),
@@ -119,35 +171,35 @@ def recommend(
 ) -> DataFrame:
     """Top ``k`` items per user as (user_idx, item_idx, score, rank), ties by item.
 
-    User and item factors are cut into blocks, and each pair of blocks is scored by one
-    matrix product that keeps ``k`` items per user. With ``seen`` (user_idx, item_idx)
+    User and item factors are cut into blocks, each one packed row, and each pair of blocks is scored by
+    matrix products that keep ``k`` items per user. With ``seen`` (user_idx, item_idx)
     those items are masked inside the product, so memory stays ``k`` rows per user and
     block, however many items a user has seen. Users without factors get no rows. Blocks are as
     large as ``block_rows`` allows, but users are cut into enough of them to keep all cores busy.
     """
     wanted = checkpointed(users.select("user_idx").distinct())
-    factors = lambda df, name: df.select(F.col("id").alias(name), "features")
-    mine = checkpointed(lookup_join(factors(model.userFactors, "user_idx"), wanted, ["user_idx"], "left_semi"))
-    items = checkpointed(factors(model.itemFactors, "item_idx"))
+    mine = checkpointed(lookup_join(model.userFactors, wanted.withColumnRenamed("user_idx", "id"), ["id"], "left_semi"))
+    items = checkpointed(model.itemFactors)
     cores = mine.sparkSession.sparkContext.defaultParallelism
     u_blocks, i_blocks = block_counts(mine.count(), items.count(), block_rows, cores)
 
     def block(column: str, n: int):
         return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    def packed(factors: DataFrame, name: str, n: int, other: str, copies: int) -> DataFrame:
+        rows = factors.select(block("id", n).alias(name), "id", "features").where(F.col("id").isNotNull() & F.col("features").isNotNull())
+        rows = rows.groupBy(name).applyInPandas(lambda pdf: _packed(pdf, name), f"{name} int, ids binary, vectors binary")
+        return checkpointed(rows).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
-    asked = mine.select(
-        block("user_idx", u_blocks).alias("_ub"), "user_idx", F.lit(None).cast("int").alias("item_idx"), "features"
-    ).withColumn("_ib", every(i_blocks))
+    asked = packed(mine, "_ub", u_blocks, "_ib", i_blocks).select("_ub", "_ib", F.lit(0).alias("user_idx"), F.lit(0).alias("item_idx"), "ids", "vectors")
     if seen is not None:
         known = lookup_join(seen.select("user_idx", "item_idx").distinct(), wanted, ["user_idx"], "left_semi")
+        none = F.lit(None).cast("binary")
         asked = asked.unionByName(known.select(
             block("user_idx", u_blocks).alias("_ub"), block("item_idx", i_blocks).alias("_ib"), "user_idx", "item_idx",
-            F.lit(None).cast(mine.schema["features"].dataType).alias("features"),
+            none.alias("ids"), none.alias("vectors"),
         ))
-    found = items.select(block("item_idx", i_blocks).alias("_ib"), "item_idx", "features").withColumn("_ub", every(u_blocks))
+    found = packed(items, "_ib", i_blocks, "_ub", u_blocks)
     scored = asked.groupBy("_ub", "_ib").cogroup(found.groupBy("_ub", "_ib")).applyInPandas(
         lambda a, b: _score_block(a, b, k), "user_idx int, item_idx int, score float"
     )

@@ -194,3 +194,37 @@ def test_k_core_makes_partners_distinct_only_if_rows_repeat(spark, monkeypatch,
         pairs = kept
     assert pairs and sorted((r.user_id, r.item_id) for r in got) == sorted(p for p in pairs for _ in range(copies))
     assert bool(asked) == (copies > 1)
+
+
+def test_tiles_of_vectors_too_short_to_matter_are_left_out(monkeypatch):
+    monkeypatch.setattr(recommend, "TILE_ITEMS", 16)
+    monkeypatch.setattr(recommend, "TILE_USERS", 8)
+    looked, places = [], recommend._places
+    monkeypatch.setattr(recommend, "_places", lambda marks: looked.append(len(marks)) or places(marks))
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(50, 4)).astype(np.float32), rng.normal(size=(400, 4)).astype(np.float32)
+    y[rng.permutation(400)[:360]] *= 1e-3  # the long ones lie anywhere
+    x[7] = 0  # all its scores are ties
+    hidden = [np.sort(rng.choice(400, n, replace=False)) for n in rng.integers(0, 9, 50)]
+    got = recommend._best_in_block(x, np.arange(400), y, hidden, 5)
+    for (ids, _), row, mask in zip(got, x @ y.T, hidden):
+        assert ids.tolist() == [j for j in np.lexsort((np.arange(400), -row)) if j not in set(mask)][:5]
+    assert len(looked) < 7 * 25 / 2  # of 7 x 25 products
+
+
+@pytest.mark.parametrize("block_rows", [4, 1000])
+def test_blocks_of_factors_give_the_scores_of_all_pairs(spark, block_rows):
+    rng = np.random.default_rng(6)
+    x, y = rng.integers(-3, 4, (23, 3)), rng.integers(-3, 4, (31, 3))
+    rows = lambda m: spark.createDataFrame([(i, [float(v) for v in f]) for i, f in enumerate(m)], "id int, features array<float>")
+    model = type("Factors", (), {"userFactors": rows(x), "itemFactors": rows(y)})
+    seen = {(int(u), int(i)) for u, i in zip(rng.integers(0, 23, 90), rng.integers(0, 31, 90))} | {(3, i) for i in range(31)}
+    users = spark.createDataFrame([(u,) for u in [*range(20), 20, 20, 99, None]], "user_idx int")  # 99 has no factors
+    seen_df = spark.createDataFrame(sorted(seen) + [(99, 1), (None, 2), (1, None)], "user_idx int, item_idx int")
+    got = {}
+    for r in recommend.recommend(model, users, 6, seen=seen_df, block_rows=block_rows).collect():
+        got.setdefault(r.user_idx, {})[r.rank] = r.item_idx
+    for u in range(23):
+        free = [i for i in np.lexsort((np.arange(31), -(y @ x[u]))).tolist() if (u, i) not in seen][:6]
+        assert got.get(u, {}) == ({r + 1: i for r, i in enumerate(free)} if u < 21 else {})
+    assert set(got) == set(range(21)) - {3}
